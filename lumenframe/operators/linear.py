@@ -3,12 +3,13 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.functions.ordering import cut
 from lumenframe.operators.aggregate import vector_entries
 
 MAX_WIDTH = 8_192     # a width x width matrix is the only thing that reaches the driver
@@ -134,7 +135,7 @@ def pca_error_curve(df: DataFrame, vec: str, ks: list[int], limit: float | None
 
 def truncated_svd(df: DataFrame, vec: str, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Singular values and right vectors (k x width) of a column of ML vectors; rows stay on the executors."""
-    points = MLUtils.convertVectorColumnsFromML(df.select(F.col(vec).alias("x")), "x")
+    points = MLUtils.convertVectorColumnsFromML(cut(df.select(F.col(vec).alias("x"))), "x")
     svd = RowMatrix(points).computeSVD(k, computeU=False)
     return np.asarray(svd.s.toArray()), fixed_sign(np.asarray(svd.V.toArray()).T)
 
@@ -165,6 +166,3 @@ def select_features(df: DataFrame, features: list[str], target: str, min_var: fl
     keep = (F.col("variance") >= min_var) & (F.abs("corr") >= min_corr)
     return one.select(F.inline(rows)).withColumn("kept", F.coalesce(keep, F.lit(False)))
 
-
-__all__ = ["PcaModel", "pca", "pca_wide", "pca_error_curve", "truncated_svd", "project", "projection_matrix",
-           "select_features", "standardize", "vector_covariance", "vector_to_array"]
