@@ -142,21 +142,23 @@ def _distance_sums(g: Graph, words: int = 32) -> DataFrame:
         bit = lambda i: F.when(F.floor(place / 64) == i, F.expr(
             "shiftleft(1L, int(pmod(_ix - 1, 64)))")).otherwise(F.lit(0).cast("long"))
         state = cut(indexed.select("id", *[bit(i).alias(f"f{i}") for i in range(w)], *[bit(i).alias(f"s{i}") for i in range(w)],
-                                   F.lit(0).cast("long").alias("reached"), F.lit(0).cast("long").alias("far"), F.lit(0.0).alias("near")))
+                                   F.lit(0).cast("long").alias("reached"), F.lit(0).cast("long").alias("far"), F.lit(0.0).alias("near"),
+                                   place.between(0, 64 * w - 1).cast("long").alias("_new")))
         level = 0
-        active = lambda s: s.where(" or ".join(f"f{i} <> 0" for i in range(w)))
+        active = lambda s: s.where("_new > 0")
         while True:
             level += 1
             moved = g.push(active(state).select("id", *[f"f{i}" for i in range(w)]))
             heard = moved.groupBy(F.col("dst").alias("id")).agg(*[F.bit_or(f"f{i}").alias(f"h{i}") for i in range(w)])
-            fresh = state.join(heard, "id", "left").withColumns(
-                {f"h{i}": F.coalesce(f"h{i}", F.lit(0).cast("long")).bitwiseAND(F.bitwise_not(f"s{i}")) for i in range(w)})
-            found = sum((F.bit_count(f"h{i}") for i in range(w)), F.lit(0)).cast("long")
-            state = cut(fresh.withColumn("_new", found).select(
-                "id", *[F.col(f"h{i}").alias(f"f{i}") for i in range(w)],
-                *[F.col(f"s{i}").bitwiseOR(F.col(f"h{i}")).alias(f"s{i}") for i in range(w)],
-                (F.col("reached") + F.col("_new")).alias("reached"), (F.col("far") + level * F.col("_new")).alias("far"),
-                (F.col("near") + F.col("_new") / level).alias("near")))
+            # columns keep their names from step to step: aliases of aliases make the optimizer's constraint sets explode
+            words_ = range(w)
+            fresh = state.drop("_new", *[f"f{i}" for i in words_]).join(heard, "id", "left").selectExpr(
+                "id", *[f"coalesce(h{i}, 0L) & ~s{i} as f{i}" for i in words_], *[f"s{i}" for i in words_], "reached", "far", "near")
+            found = " + ".join(f"bit_count(f{i})" for i in words_)
+            counted = fresh.selectExpr("id", *[f"f{i}" for i in words_], *[f"s{i} | f{i} as s{i}" for i in words_],
+                                       "reached", "far", "near", f"cast({found} as bigint) as _new")
+            state = cut(counted.withColumns({"reached": F.col("reached") + F.col("_new"), "far": F.col("far") + level * F.col("_new"),
+                                             "near": F.col("near") + F.col("_new") / level}))
             if active(state).isEmpty():
                 break
         part = state.select("id", "reached", "far", "near")
