@@ -22,6 +22,20 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_
     return [r[0] for r in counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(most).collect()]
 
 
+def hot_from_counts(counts: DataFrame, key: str, n: str = "n", hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> list:
+    """The same list from a table that already holds the number of rows per key."""
+    return [r[0] for r in counts.where(F.col(n) > hot_rows).orderBy(F.desc(n)).limit(most).select(key).collect()]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """More partitions for a scan that comes in fewer pieces than there are cores (few or unsplittable files).
+
+    A scan that already feeds every core is left as it is, so large inputs are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", hot: list | None = None,
                 salts: int = SALTS) -> DataFrame:
     """Equality join on one column; rows of hot keys are spread over `salts` tasks."""

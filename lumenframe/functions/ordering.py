@@ -35,10 +35,29 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{os.urandom(8).hex()}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage and fixes the rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, keep_layout: bool = False) -> DataFrame:
+    """Reliable checkpoint: cuts lineage and fixes the rows.
+
+    keep_layout lets later joins use the hash partitioning and order of the rows. Spark records them only when the
+    plan is fixed beforehand, so adaptive planning is off for this one job.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    if not keep_layout:
+        return df.checkpoint(eager=True)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # a new DataFrame object, so that a plan made under the other setting is not reused
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def laid_out(df: DataFrame, key: str) -> DataFrame:
+    """Rows hash-partitioned and sorted by the key once, for many joins on it without another shuffle."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.repartition(parts, key).sortWithinPartitions(key), keep_layout=True)
 
 
 def sort_key(name: str) -> Column:

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions.joins import HOT_KEYS, HOT_ROWS, hot_keys, salted_join
-from lumenframe.functions.ordering import cut, rank_in_group, ranked, value_steps
+from lumenframe.functions.ordering import cut, laid_out, rank_in_group, ranked, value_steps
 
 ROUNDS_PER_CUT = 4
+SUMS_PER_CUT = 8
 
 
 @dataclass(frozen=True)
@@ -43,8 +44,7 @@ def build_graph(edges: DataFrame, nodes: DataFrame | None = None) -> Graph:
     both = merged.select(F.inline(F.array(
         F.struct(F.col("a").alias("src"), F.col("b").alias("dst"), "weight"),
         F.struct(F.col("b").alias("src"), F.col("a").alias("dst"), "weight"))))
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = cut(both.repartition(parts, "src"))
+    kept = laid_out(both, "src")
     ends = kept.select(F.col("src").alias("id"))
     ids = ends.distinct() if nodes is None else nodes.select("id").unionByName(ends).distinct()
     vertices = cut(ids)
@@ -141,9 +141,9 @@ def _distance_sums(g: Graph, words: int = 32) -> DataFrame:
         place = F.col("_ix") - 1 - 64 * first
         bit = lambda i: F.when(F.floor(place / 64) == i, F.expr(
             "shiftleft(1L, int(pmod(_ix - 1, 64)))")).otherwise(F.lit(0).cast("long"))
-        state = cut(indexed.select("id", *[bit(i).alias(f"f{i}") for i in range(w)], *[bit(i).alias(f"s{i}") for i in range(w)],
+        state = laid_out(indexed.select("id", *[bit(i).alias(f"f{i}") for i in range(w)], *[bit(i).alias(f"s{i}") for i in range(w)],
                                    F.lit(0).cast("long").alias("reached"), F.lit(0).cast("long").alias("far"), F.lit(0.0).alias("near"),
-                                   place.between(0, 64 * w - 1).cast("long").alias("_new")))
+                                   place.between(0, 64 * w - 1).cast("long").alias("_new")), "id")
         level = 0
         active = lambda s: s.where("_new > 0")
         while True:
@@ -158,7 +158,7 @@ def _distance_sums(g: Graph, words: int = 32) -> DataFrame:
             counted = fresh.selectExpr("id", *[f"f{i}" for i in words_], *[f"s{i} | f{i} as s{i}" for i in words_],
                                        "reached", "far", "near", f"cast({found} as bigint) as _new")
             state = cut(counted.withColumns({"reached": F.col("reached") + F.col("_new"), "far": F.col("far") + level * F.col("_new"),
-                                             "near": F.col("near") + F.col("_new") / level}))
+                                             "near": F.col("near") + F.col("_new") / level}), keep_layout=True)
             if active(state).isEmpty():
                 break
         part = state.select("id", "reached", "far", "near")
@@ -219,25 +219,29 @@ def betweenness(g: Graph, batch: int = 1_024, normalized: bool = True) -> DataFr
 
 def eigenvector_centrality(g: Graph, iters: int = 100, tol: float | None = 1e-6) -> DataFrame:
     """Power iteration on A + I from an even start, scaled to unit length; stops early when tol is given."""
+    own = g.vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1.0).alias("weight"))
+    looped = Graph(laid_out(g.edges.unionByName(own), "src"), g.vertices, g.n, g.hot)      # A + I, so a step reads the state once
     state = g.vertices.select("id", F.lit(1.0 / g.n).alias("x"))
+    before = None
     for i in range(1, iters + 1):
-        sent = g.push(state).select(F.col("dst").alias("id"), "x")
-        old = state
-        state = sent.unionByName(state).groupBy("id").agg(F.sum("x").alias("x"))
-        if i % ROUNDS_PER_CUT and i != iters:
+        state = looped.push(state).groupBy(F.col("dst").alias("id")).agg(F.sum("x").alias("x"))
+        if i % SUMS_PER_CUT and i != iters:
             continue        # only the direction matters, so lengths are reset at checkpoints
         state = cut(state)
         length = math.sqrt(state.agg(F.sum(F.col("x") * F.col("x"))).first()[0]) or 1.0
         state = state.withColumn("x", F.col("x") / length)
-        if tol is not None and i != iters:
-            was = cut(old)
-            size = math.sqrt(was.agg(F.sum(F.col("x") * F.col("x"))).first()[0]) or 1.0
-            gap = state.join(was.select("id", (F.col("x") / size).alias("y")), "id").agg(F.sum(F.abs(F.col("x") - F.col("y")))).first()[0]
-            if gap < g.n * tol:
-                break
+        if tol is not None and before is not None and _moved(state, before) < g.n * tol:
+            break
+        before = state
     return state.select("id", F.col("x").alias("ec"))
 
 
+def _moved(now: DataFrame, before: DataFrame) -> float:
+    """Total change since the last checkpoint; this is stricter than the change in one round."""
+    both = now.join(before.select("id", F.col("x").alias("y")), "id")
+    return both.agg(F.sum(F.abs(F.col("x") - F.col("y")))).first()[0] or 0.0
+
+
 def clustering(g: Graph) -> DataFrame:
     """Share of neighbour pairs that are linked.
 
@@ -262,20 +266,18 @@ def pagerank(g: Graph, alpha: float = 0.85, iters: int = 100, tol: float | None
     deg = cut(degrees(g))
     lone = deg.where("degree = 0").count()
     shares = salted_join(g.edges, deg.select(F.col("id").alias("src"), "strength"), "src", "inner", hot=g.hot)
-    flow = Graph(cut(shares.select("src", "dst", (F.col("weight") / F.col("strength")).alias("weight"))), g.vertices, g.n, g.hot)
-    state, single = g.vertices.select("id", F.lit(1.0 / g.n).alias("x")), 1.0 / g.n
+    flow = Graph(laid_out(shares.select("src", "dst", (F.col("weight") / F.col("strength")).alias("weight")), "src"), g.vertices, g.n, g.hot)
+    state, single, before = g.vertices.select("id", F.lit(1.0 / g.n).alias("x")), 1.0 / g.n, None
     for i in range(1, iters + 1):
         base = alpha * single * lone / g.n + (1 - alpha) / g.n
         sent = flow.push(state).select(F.col("dst").alias("id"), (alpha * F.col("x") * F.col("weight")).alias("x"))
-        old = state
         state = sent.unionByName(g.vertices.select("id", F.lit(base).alias("x"))).groupBy("id").agg(F.sum("x").alias("x"))
         single = base
-        if i % ROUNDS_PER_CUT == 0 or i == iters:
+        if i % SUMS_PER_CUT == 0 or i == iters:
             state = cut(state)
-            if tol is not None and i != iters:
-                gap = state.join(old.select("id", F.col("x").alias("y")), "id").agg(F.sum(F.abs(F.col("x") - F.col("y")))).first()[0]
-                if gap < g.n * tol:
-                    break
+            if tol is not None and before is not None and _moved(state, before) < g.n * tol:
+                break
+            before = state
     return state.select("id", F.col("x").alias("pr"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions.joins import salted_join
+from lumenframe.functions.ordering import cut
 from lumenframe.functions.words import (ISSUE_STOPWORDS, ISSUE_SYMBOLS, issue_tokens, numeric_tokens,
                                         split_sentences, tokenize_issue)
 
@@ -20,9 +21,14 @@ TWO_CHAINS = {"device": "device", "reported": "reported", "customer": "customer"
 ONE_CHAIN = {"device": "device", "patient": "patient"}
 
 
+def sentences(col) -> Column:
+    """Lower-cased sentences of a text column name; a Column is taken as a list of sentences already."""
+    return split_sentences(F.lower(F.col(col))) if isinstance(col, str) else col
+
+
 def route_sentences(col, keywords: dict[str, str] = TWO_CHAINS) -> dict[str, Column]:
     """Sentence lists by route. The device and the customer chain are independent; what the second leaves is 'other'."""
-    sents = split_sentences(F.lower(F.col(col) if isinstance(col, str) else col))
+    sents = sentences(col)
     has = lambda t, k: t.contains(keywords[k])
     pick = lambda test: F.filter(sents, test)
     return {
@@ -36,7 +42,7 @@ def route_sentences(col, keywords: dict[str, str] = TWO_CHAINS) -> dict[str, Col
 
 def route_exclusive(col, keywords: dict[str, str] = ONE_CHAIN) -> dict[str, Column]:
     """Each sentence to the first of device, patient, other."""
-    sents = split_sentences(F.lower(F.col(col) if isinstance(col, str) else col))
+    sents = sentences(col)
     device, patient = keywords["device"], keywords["patient"]
     return {
         "device": F.filter(sents, lambda t: t.contains(device)),
@@ -75,22 +81,22 @@ def class_phrases_after(col, keywords: dict[str, str] = ONE_CHAIN) -> dict[str,
 def extract_issues(df: DataFrame, text: str, keywords: dict[str, str] = TWO_CHAINS, sep: str = ",",
                    stopwords: Iterable[str] = ISSUE_STOPWORDS, symbols: Iterable[str] = ISSUE_SYMBOLS) -> DataFrame:
     """Six text columns: phrases and scores (tokens with a digit) for device, patient and other."""
-    out = df
-    for name, found in class_phrases(text, keywords).items():
+    out = df.withColumn("_sents", sentences(text))
+    for name, found in class_phrases(F.col("_sents"), keywords).items():
         tokens = F.transform(found, lambda p: issue_tokens(p, stopwords, symbols))
         out = out.withColumn(f"_{name}", F.filter(tokens, lambda t: F.size(t) > 0))
     joined = lambda n: F.array_join(F.transform(f"_{n}", lambda t: F.array_join(t, " ")), sep)
     scores = lambda n: F.array_join(numeric_tokens(F.flatten(f"_{n}")), sep)
     return (out.withColumns({c: v for n in CLASSES for c, v in ((n, joined(n)), (f"{n}_score", scores(n)))})
-            .drop(*[f"_{n}" for n in CLASSES]))
+            .drop("_sents", *[f"_{n}" for n in CLASSES]))
 
 
 def extract_issues_first(df: DataFrame, text: str, keywords: dict[str, str] = ONE_CHAIN,
                          stopwords: Iterable[str] = (*ISSUE_STOPWORDS, "wa", "reported"),
                          symbols: Iterable[str] = ISSUE_SYMBOLS) -> DataFrame:
     """Array columns; only the first class that has phrases is filled."""
-    found = class_phrases_after(text, keywords)
-    out = df.withColumns({f"_{n}": F.transform(found[n], lambda p: issue_tokens(p, stopwords, symbols)) for n in CLASSES})
+    found = class_phrases_after(F.col("_sents"), keywords)
+    out = df.withColumn("_sents", sentences(text)).withColumns({f"_{n}": F.transform(found[n], lambda p: issue_tokens(p, stopwords, symbols)) for n in CLASSES})
     free = F.lit(True)
     cols = {}
     for n in CLASSES:
@@ -101,14 +107,14 @@ def extract_issues_first(df: DataFrame, text: str, keywords: dict[str, str] = ON
         cols[n] = F.when(here, words).otherwise(none)
         cols[f"{n}_score"] = F.when(here, digits).otherwise(none)
         free = free & (F.size(f"_{n}") == 0)
-    return out.withColumns(cols).drop(*[f"_{n}" for n in CLASSES])
+    return out.withColumns(cols).drop("_sents", *[f"_{n}" for n in CLASSES])
 
 
 def _phrase_rows(df: DataFrame, key: str, text: str, keywords, stopwords, symbols) -> DataFrame:
     """(key, class, counts, pos, phrase): counts tells whether the text's first phrase of the class is not empty."""
-    found = class_phrases_after(text, keywords)
+    found = class_phrases_after(F.col("_sents"), keywords)
     packs = F.array(*[F.struct(F.lit(n).alias("class"), found[n].alias("raw")) for n in CLASSES])
-    rows = df.select(key, F.inline(packs)).where(F.size("raw") > 0)
+    rows = df.select(key, sentences(text).alias("_sents")).select(key, F.inline(packs)).where(F.size("raw") > 0)
     return rows.select(key, "class", (F.col("raw")[0] != "").alias("counts"), F.posexplode("raw").alias("pos", "_p")).select(
         key, "class", "counts", "pos", tokenize_issue("_p", stopwords, symbols).alias("phrase"))
 
@@ -131,7 +137,7 @@ def extract_issues_phrases(df: DataFrame, key: str, text: str, corpus: DataFrame
                            keywords: dict[str, str] = ONE_CHAIN, stopwords: Iterable[str] = ISSUE_STOPWORDS,
                            symbols: Iterable[str] = ISSUE_SYMBOLS) -> DataFrame:
     """Per text and class the phrases that the corpus holds, in order."""
-    rows = _phrase_rows(df, key, text, keywords, stopwords, symbols)
+    rows = cut(_phrase_rows(df, key, text, keywords, stopwords, symbols))      # read for the corpus and for the lookup
     corpus = _corpus(rows) if corpus is None else corpus
     joint = F.concat_ws("\t", "class", "phrase").alias("_k")
     kept = salted_join(rows.where(F.size(F.split("phrase", " ")).isin(2, 3)).select("*", joint),

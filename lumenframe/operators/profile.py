@@ -31,14 +31,17 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation per column, from running counts over the distinct values.
+def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v").where("v is not null")
 
-    All columns share one pass; equal values are counted before the shuffle.
-    """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v")
-    counts = long.where("v is not null").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    steps = cut(running(counts, ["column"], ["v"], {"upto": ("sum", "n")}))
+
+def _steps(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct values per column with their count n and the running count; equal values meet before the shuffle."""
+    counts = _long(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    return cut(running(counts, ["column"], ["v"], {"upto": ("sum", "n")}))
+
+
+def _quantiles(steps: DataFrame, probs: list[float]) -> DataFrame:
     totals = steps.groupBy("column").agg(F.max("upto").alias("total"))  # one row per column name
     at = (steps.join(totals, "column")
           .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
@@ -50,19 +53,25 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
         "column", "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("h") - F.floor("h"))).alias("quantile"))
 
 
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation per column, from running counts over the distinct values."""
+    return _quantiles(_steps(df, cols), probs)
+
+
 def summary_stats(df: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
     """min, first quartile, median, mean, third quartile and max per column; accuracy switches to the sketch."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v")
-    ends = [F.min("v").alias("min"), F.avg("v").alias("mean"), F.max("v").alias("max")]
     if accuracy:
-        out = long.groupBy("column").agg(*ends, F.percentile_approx("v", [0.25, 0.5, 0.75], accuracy).alias("q"))
+        out = _long(df, cols).groupBy("column").agg(F.min("v").alias("min"), F.avg("v").alias("mean"), F.max("v").alias("max"),
+                                                    F.percentile_approx("v", [0.25, 0.5, 0.75], accuracy).alias("q"))
         return out.select("column", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), "mean",
                           F.col("q")[2].alias("q3"), "max")
+    steps = _steps(df, cols)        # the data is read once; everything else comes from the counted values
+    ends = steps.groupBy("column").agg(F.min("v").alias("min"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+                                       F.max("v").alias("max"))
     at = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
-    quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").agg(
+    quartiles = _quantiles(steps, [0.25, 0.5, 0.75]).groupBy("column").agg(
         at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
-    return long.groupBy("column").agg(*ends).join(quartiles, "column").select(
-        "column", "min", "q1", "median", "mean", "q3", "max")
+    return ends.join(quartiles, "column").select("column", "min", "q1", "median", "mean", "q3", "max")
 
 
 def category_counts(df: DataFrame, *cols: str) -> DataFrame:

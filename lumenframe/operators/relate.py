@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenframe.functions.joins import pair_with_small, salted_join
+from lumenframe.functions.joins import hot_from_counts, pair_with_small, salted_join
 from lumenframe.functions.ordering import sort_key
 
 
@@ -23,6 +23,8 @@ def join_by_row_id(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str, value: str, default=None,
                 hot: list | None = None) -> DataFrame:
     """Value of each key from a lookup table, or the default."""
+    if hot is None and "n" in lookup.columns:
+        hot = hot_from_counts(lookup, key)      # a vocabulary knows how often each key occurs
     out = salted_join(df, lookup.select(key, value), key, hot=hot)
     return out if default is None else out.withColumn(value, F.coalesce(value, F.lit(default)))
 

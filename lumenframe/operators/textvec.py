@@ -5,8 +5,8 @@ from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.functions.joins import salted_join
-from lumenframe.functions.ordering import ranked
+from lumenframe.functions.joins import hot_from_counts, salted_join
+from lumenframe.functions.ordering import cut, ranked
 from lumenframe.functions.words import WORD2, word_tokens
 from lumenframe.operators.clean import encode_first_seen, encode_sorted
 from lumenframe.operators.order import top_k_per_group
@@ -35,14 +35,14 @@ def term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
 
 def bag_of_words(df: DataFrame, key: str, text: str) -> DataFrame:
     """Counts per text and term; words of two or more characters, term ids in alphabetical order."""
-    counts = term_counts(df, key, word_tokens(text, WORD2))
+    counts = cut(term_counts(df, key, word_tokens(text, WORD2)))     # read three times below
     return encode_sorted(counts, "token").select(key, "token", F.col("code").alias("term_id"), "tf")
 
 
 def term_document_matrix(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     """(term_id, key, tf) with term ids by first appearance in key and position order."""
     rows = df.select(key, F.posexplode(tokens).alias("pos", "token"))
-    counts = rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.min(F.struct(key, "pos")).alias("_at"))
+    counts = cut(rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.min(F.struct(key, "pos")).alias("_at")))
     return encode_first_seen(counts, "token", "_at").select(F.col("code").alias("term_id"), "token", key, "tf")
 
 
@@ -50,16 +50,16 @@ def tfidf(df: DataFrame, key: str, tokens: Column, use_idf: bool = True, norm: b
           n_docs: int | None = None) -> DataFrame:
     """Weights tf * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per text.
 
-    The (key, token) counts are the only large shuffle before the lookup of idf; a term found in every text is
-    salted, and the length of a text is summed over its own terms only.
+    The (key, token) counts are written once, so texts are tokenized once; a term found in very many texts is salted
+    in the lookup of idf, and the length of a text is summed over its own terms only.
     """
-    counts = term_counts(df, key, tokens)
+    counts = cut(term_counts(df, key, tokens))
     if use_idf:
         n = df.count() if n_docs is None else n_docs
         add = 1 if smooth else 0
         idf = F.ln((F.lit(n) + add) / (F.col("df") + add)) + 1
-        terms = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select("token", idf.alias("idf"))
-        weighted = salted_join(counts, terms, "token").select(key, "token", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
+        terms = cut(counts.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+        weighted = salted_join(counts, terms.select("token", idf.alias("idf")), "token", hot=hot_from_counts(terms, "token", "df")).select(key, "token", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
     else:
         weighted = counts.withColumn("weight", F.col("tf").cast("double"))
     if not norm:
@@ -76,7 +76,8 @@ def top_terms(weights: DataFrame, key: str, k: int) -> DataFrame:
 def encode_sequences(df: DataFrame, key: str, tokens: Column, vocab: DataFrame, unknown: int = 1) -> DataFrame:
     """Token ids of each text in order, with the length."""
     rows = df.select(key, F.posexplode(tokens).alias("pos", "token"))
-    coded = salted_join(rows, vocab.select("token", "id"), "token").select(
+    hot = hot_from_counts(vocab, "token") if "n" in vocab.columns else None
+    coded = salted_join(rows, vocab.select("token", "id"), "token", hot=hot).select(
         key, F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id")).alias("_e"))
     lists = coded.groupBy(key).agg(F.array_sort(F.collect_list("_e")).alias("_l"))
     ids = F.coalesce(F.transform("_l", lambda e: e["id"]), F.array().cast("array<bigint>"))
@@ -105,6 +106,6 @@ def embed_tokens(df: DataFrame, key: str, tokens: Column, vectors: DataFrame) ->
 
     Tokens are counted per text first, so each vector is read once per text and term.
     """
-    known = salted_join(term_counts(df, key, tokens), vectors.select("token", "vector"), "token", "inner")
+    known = salted_join(cut(term_counts(df, key, tokens)), vectors.select("token", "vector"), "token", "inner")
     parts = known.select(key, "tf", F.posexplode("vector").alias("dim", "v"))
     return parts.groupBy(key, "dim").agg((F.sum(F.col("tf") * F.col("v")) / F.sum("tf")).alias("value"))

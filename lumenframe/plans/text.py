@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenframe.functions import words as W
+from lumenframe.functions.joins import spread
 from lumenframe.functions.numbers import r6
 from lumenframe.operators import issues, relate, text
 from lumenframe.operators.textvec import build_vocab, token_counts
@@ -20,7 +21,7 @@ ONE = {"device": "with", "patient": "for"}
 
 
 def docs(s, d):
-    return table(s, d, "documents").select("doc_id", "text")
+    return spread(table(s, d, "documents").select("doc_id", "text"))
 
 
 def sql_list(words):

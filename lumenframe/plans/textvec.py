@@ -1,9 +1,11 @@
 """Vocabulary, tf-idf, sequence and word vector queries over documents and conversations."""
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lumenframe.functions import words as W
+from lumenframe.functions.joins import spread
 from lumenframe.functions.numbers import r6
 from lumenframe.operators import textvec
 from lumenframe.plans.book import Book, table
@@ -12,7 +14,7 @@ BOOK = Book()
 
 
 def docs(s, d):
-    return table(s, d, "documents").select("doc_id", "text")
+    return spread(table(s, d, "documents").select("doc_id", "text"))
 
 
 WORDS = r"""regexp_extract_all(lower("text"), '[\p{L}\p{N}_]+')"""
@@ -88,7 +90,7 @@ def _(s, d):
 @BOOK.add("word2vec", "V08")
 def _(s, d):
     model = textvec.word2vec(docs(s, d), W.word_tokens("text"), size=16, window=5, min_count=10, partitions=4)
-    return model.getVectors().select("word", F.size(F.transform(F.array("word"), lambda w: w)).alias("n"))
+    return model.getVectors().select("word", F.array_join(F.transform(vector_to_array("vector"), lambda v: F.round(v, 4).cast("string")), " ").alias("vector"))
 
 
 @BOOK.add("embed_tokens", "V09", f"""with {ROWS}, v as (select token, row_number() over (order by count(*) desc, token) as id from rows_ group by 1),

@@ -127,7 +127,9 @@ def _(s, d):
     return out.withColumn("value", r6("value"))
 
 
-@BOOK.add("project_plane", "L13")
+@BOOK.add("project_plane", "L13", """with x as (select vec_id, unnest(embedding)::double as v, generate_subscripts(embedding, 1) - 1 as j from embeddings),
+  f as (select vec_id, regr_intercept(v, j) as a, regr_slope(v, j) as b from x group by 1)
+  select vec_id, j::int as dim, round(a + b * j, 6) + 0.0 as "value" from f, unnest(range(64)) as u(j)""")
 def _(s, d):
     basis = [[1.0, float(j)] for j in range(64)]
     out = linear.project(vecs(s, d), "embedding", basis)
