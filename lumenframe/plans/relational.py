@@ -61,7 +61,7 @@ def _(s, d):
     return out.select("column", "min", *[r6(c).alias(c) for c in ("q1", "median", "mean", "q3")], "max")
 
 
-@BOOK.add("column_types", "P05", """select column_name as "column", case column_type when 'VARCHAR' then 'string' else lower(column_type) end as "type"
+@BOOK.add("column_types", "P05", """select column_name as "column", case column_type when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' else lower(column_type) end as "type"
   from (describe orders)""")
 def _(s, d):
     return profile.column_types(table(s, d, "orders"))
