@@ -77,8 +77,8 @@ def encode_sequences(df: DataFrame, key: str, tokens: Column, vocab: DataFrame,
     """Token ids of each text in order, with the length."""
     rows = df.select(key, F.posexplode(tokens).alias("pos", "token"))
     hot = hot_from_counts(vocab, "token") if "n" in vocab.columns else None
-    coded = salted_join(rows, vocab.select("token", "id"), "token", hot=hot).select(
-        key, F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id")).alias("_e"))
+    coded = salted_join(rows, vocab.select("token", F.col("id").alias("_id")), "token", hot=hot).select(
+        key, F.struct("pos", F.coalesce("_id", F.lit(unknown)).alias("id")).alias("_e"))
     lists = coded.groupBy(key).agg(F.array_sort(F.collect_list("_e")).alias("_l"))
     ids = F.coalesce(F.transform("_l", lambda e: e["id"]), F.array().cast("array<bigint>"))
     return df.select(key).join(lists, key, "left").select(key, ids.alias("ids")).withColumn("length", F.size("ids"))
