@@ -22,7 +22,8 @@ from lumenframe.operators.aggregate import class_mean_vectors
 from lumenframe.operators.linear import dot
 from lumenframe.operators.order import top_k_per_group
 
-BLOCK = 4_096
+BLOCK_BYTES = 16 << 20        # coordinates of one block
+GAPS_AT_ONCE = 4_000_000      # distances held by a task at a time
 MAX_PIVOTS = 256
 SLACK = 1e-9
 
@@ -77,6 +78,17 @@ def _gaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(sq)
 
 
+def _block_rows(df: DataFrame) -> int:
+    """Rows per block for the width of the vectors: fewer, larger blocks mean fewer copies of each row."""
+    width = df.select(F.size("v")).first()
+    return max(512, min(16_384, BLOCK_BYTES // (8 * max(1, width[0] if width else 1))))
+
+
+def _chunks(rows: int, targets: int) -> Iterator[slice]:
+    step = max(1, GAPS_AT_ONCE // max(1, targets))
+    return (slice(lo, lo + step) for lo in range(0, rows, step))
+
+
 def _pivots(df: DataFrame, key: str, vec: str, count: int) -> np.ndarray:
     rows = df.orderBy(F.xxhash64(key), key).limit(count).select(vec).collect()
     return np.unique(np.array([r[0] for r in rows], dtype=np.float64), axis=0)
@@ -139,10 +151,11 @@ def _cell_stats(df: DataFrame) -> tuple[dict, dict]:
 
 
 def nearest(x: DataFrame, y: DataFrame, key: str, vec: str, k: int, exclude_self: bool = False,
-            pivots: int | None = None, block: int = BLOCK) -> DataFrame:
+            pivots: int | None = None, block: int | None = None) -> DataFrame:
     """The k rows of y closest to each row of x: (id, other, distance, rank). Exact; ties go to the smaller key."""
     left, right = _keyed(x, key, vec), _keyed(y, key, vec)
     n_right = right.count()
+    block = block or _block_rows(right)
     if n_right == 0:
         raise ValueError("no rows to search in")
     centre = _pivots(right, "id", "v", pivots or min(MAX_PIVOTS, max(1, math.ceil(n_right / block))))
@@ -163,14 +176,14 @@ def nearest(x: DataFrame, y: DataFrame, key: str, vec: str, k: int, exclude_self
         ids, others = a["id"].to_numpy(), b["id"].to_numpy()
         rows, cols, gaps = [], [], []
         points, targets = _matrix(a["v"]), _matrix(b["v"])
-        for lo in range(0, len(ids), 512):
-            g = np.round(_gaps(points[lo:lo + 512], targets), 9)
+        for at in _chunks(len(ids), len(others)):
+            g = np.round(_gaps(points[at], targets), 9)
             if exclude_self:
-                g[ids[lo:lo + 512, None] == others[None, :]] = np.inf
+                g[ids[at][:, None] == others[None, :]] = np.inf
             order = np.argsort(g, axis=1, kind="stable")[:, :k]
             taken = np.take_along_axis(g, order, 1)
             i, j = np.nonzero(np.isfinite(taken))
-            rows.append(ids[lo + i]), cols.append(others[order[i, j]]), gaps.append(taken[i, j])
+            rows.append(ids[at][i]), cols.append(others[order[i, j]]), gaps.append(taken[i, j])
         return pd.DataFrame({"id": np.concatenate(rows), "other": np.concatenate(cols), "distance": np.concatenate(gaps)})
 
     found = _block_join(left, right, centre, reach, radius, sizes, n_right, best,
@@ -199,12 +212,13 @@ def knn_classify(train: DataFrame, test: DataFrame, key: str, vec: str, label: s
 
 
 def similar_pairs(x: DataFrame, key: str, vec: str, min_cosine: float, pivots: int | None = None,
-                  block: int = BLOCK) -> DataFrame:
+                  block: int | None = None) -> DataFrame:
     """All unordered pairs with a cosine above the limit: (src, dst, cosine), src < dst. Zero vectors have no pairs."""
     rows = _keyed(x, key, vec)
     length = F.sqrt(dot(F.col("v"), F.col("v")))
     unit = rows.withColumn("_n", length).where("_n > 0").select("id", F.transform("v", lambda e: e / F.col("_n")).alias("v"))
     n = unit.count()
+    block = block or _block_rows(unit)
     key_type = dict(unit.dtypes)["id"]
     schema = f"src {key_type}, dst {key_type}, cosine double"
     if n == 0:
@@ -219,10 +233,10 @@ def similar_pairs(x: DataFrame, key: str, vec: str, min_cosine: float, pivots: i
         if len(a) and len(b):
             ids, others = a["id"].to_numpy(), b["id"].to_numpy()
             points, targets = _matrix(a["v"]), _matrix(b["v"])
-            for lo in range(0, len(ids), 512):
-                c = points[lo:lo + 512] @ targets.T
-                i, j = np.nonzero((c > min_cosine) & (ids[lo:lo + 512, None] < others[None, :]))
-                out.append(pd.DataFrame({"src": ids[lo + i], "dst": others[j], "cosine": c[i, j]}))
+            for at in _chunks(len(ids), len(others)):
+                c = points[at] @ targets.T
+                i, j = np.nonzero((c > min_cosine) & (ids[at][:, None] < others[None, :]))
+                out.append(pd.DataFrame({"src": ids[at][i], "dst": others[j], "cosine": c[i, j]}))
         return pd.concat(out, ignore_index=True)
 
     return _block_join(cells, cells, centre, {c: far for c in radius}, radius, sizes, n, close, schema, block)

@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenframe.functions.numbers import r6
-from lumenframe.functions.ordering import cut
 from lumenframe.operators import aggregate, clean, order, profile, relate, split
 from lumenframe.plans.book import Book, table
 
