@@ -14,6 +14,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.functions.joins import spread
 from lumenframe.functions.ordering import cut
 from lumenframe.operators.linear import literal_matrix, standardize, vector_entries
 from lumenframe.operators.order import top_k_per_group
@@ -26,19 +27,22 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=features, outputCol=out).transform(df)
 
 
-def tfidf_vectors(df: DataFrame, tokens: Column, min_df: int = 1, out: str = "features") -> tuple[DataFrame, list[str]]:
+def tfidf_vectors(df: DataFrame, tokens: Column, min_df: int = 1, out: str = "features",
+                  keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
     """Smooth tf-idf as unit sparse vectors for ML models: tf * (ln((1 + n) / (1 + df)) + 1). Returns rows and terms.
 
+    The counts are written once with the kept columns, so iterative models do not tokenize the texts again.
+
     Model weights are as wide as the vocabulary and live on the driver, so a vocabulary above MAX_TERMS is an error.
     """
-    base = df.withColumn("_tokens", tokens)
+    base = spread(df).select(*(keep or df.columns), tokens.alias("_tokens"))
     counter = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=MAX_TERMS, minDF=min_df).fit(base)
     if len(counter.vocabulary) >= MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms; raise min_df")
-    counted = counter.transform(base)
+    counted = cut(counter.transform(base).drop("_tokens"))
     idf = IDF(inputCol="_tf", outputCol="_w").fit(counted).idf.toArray() + 1
     weighted = ElementwiseProduct(inputCol="_tf", outputCol="_w", scalingVec=Vectors.dense(idf)).transform(counted)
-    rows = Normalizer(inputCol="_w", outputCol=out, p=2.0).transform(weighted).drop("_tokens", "_tf", "_w")
+    rows = Normalizer(inputCol="_w", outputCol=out, p=2.0).transform(weighted).drop("_tf", "_w")
     return rows, counter.vocabulary
 
 

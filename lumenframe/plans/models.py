@@ -56,7 +56,7 @@ def _(s, d):
 
 @BOOK.add("logistic_regression", "M05")
 def _(s, d):
-    rows, _ = models.tfidf_vectors(labelled(s, d).select("doc_id", "quality", "text"), W.word_tokens("text", W.WORD2), min_df=2)
+    rows, _ = models.tfidf_vectors(labelled(s, d).select("doc_id", "quality", "text"), W.word_tokens("text", W.WORD2), min_df=2, keep=["doc_id", "quality"])
     model = models.logistic_regression(rows, "quality", "l2", 10.0)
     return model.transform(rows).select("doc_id", "quality", r6(vector_to_array("probability")[1], 3).alias("score"))
 
@@ -95,7 +95,8 @@ def _(s, d):
 
 @BOOK.add("grid_search", "M11")
 def _(s, d):
-    rows, _ = models.tfidf_vectors(labelled(s, d).select("doc_id", "quality", "text"), W.word_tokens("text", W.WORD2), min_df=5)
+    rows, _ = models.tfidf_vectors(labelled(s, d).select("doc_id", "quality", "text"), W.word_tokens("text", W.WORD2), min_df=5,
+                                   keep=["doc_id", "quality"])
     lr = LogisticRegression(labelCol="quality", standardization=False, maxIter=20)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01]).build()
     found = models.grid_search(rows.select("doc_id", "quality", "features"), "doc_id", "quality", lr, grid, folds=3)
@@ -119,7 +120,7 @@ def _(s, d):
 
 @BOOK.add("cluster_top_terms", "M14")
 def _(s, d):
-    rows, terms = models.tfidf_vectors(table(s, d, "documents").select("doc_id", "text"), W.word_tokens("text", W.WORD2), min_df=5)
+    rows, terms = models.tfidf_vectors(table(s, d, "documents").select("doc_id", "text"), W.word_tokens("text", W.WORD2), min_df=5, keep=["doc_id"])
     return models.cluster_top_terms(models.kmeans(rows.select("features"), 4, 20), terms, s, 20)
 
 

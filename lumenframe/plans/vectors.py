@@ -111,7 +111,7 @@ def _(s, d):
 
 @BOOK.add("truncated_svd", "L12")
 def _(s, d):
-    rows, _ = tfidf_vectors(table(s, d, "documents"), W.word_tokens("text", W.WORD2), min_df=5)
+    rows, _ = tfidf_vectors(table(s, d, "documents").select("doc_id", "text"), W.word_tokens("text", W.WORD2), min_df=5, keep=["doc_id"])
     values, _ = linear.truncated_svd(rows, "features", 5)
     return s.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "component int, singular_value double")
 
