@@ -2,9 +2,14 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+SHIPPED = "lumenframe.shipped"
+
 
 def build_session(app: str = "lumenframe", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with adaptive execution on; partition count follows the cluster unless given."""
@@ -25,3 +30,16 @@ def build_session(app: str = "lumenframe", master: str | None = None, shuffle_pa
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that functions defined in it can be loaded there."""
+    if spark.conf.get(SHIPPED, None) == spark.sparkContext.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="lumenframe-")) / "lumenframe.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    spark.conf.set(SHIPPED, spark.sparkContext.applicationId)
