@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, exact, langid, mixing, simhash
+from lumenframe.llm import bpe, exact, langid, mixing, search, simhash, warc
 from lumenframe.llm.common import is_held_out
 from lumenframe.plans.book import Book, table
 
@@ -61,3 +61,28 @@ from (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ',
 def op10(spark: SparkSession, d: str) -> DataFrame:
     rows = exact.exact_duplicates(table(spark, d, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+NEAREST_SQL = """
+with usable as (select vec_id, embedding::double[] as e from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as score from usable q join usable c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id)
+select query_id, (row_number() over (partition by query_id order by score, vec_id))::int as rank, vec_id, score from pairs
+qualify row_number() over (partition by query_id order by score, vec_id) <= 10"""
+
+
+@BOOK.add("op3_vector_search", "LLM3", NEAREST_SQL)
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return search.nearest_of(table(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+@BOOK.add("op8_warc", "LLM8", f"""
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha256(coalesce(html, '')) as h from pages),
+f as (select *, min(page_id) over (partition by h) as first from p)
+select page_id, n as payload_bytes, h as payload_digest, case when n >= {warc.LEAST} and page_id <> first then 'revisit' else 'response' end as record_type,
+  case when n >= {warc.LEAST} and page_id <> first then first end as refers_to from f""")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    _, index, folder = warc.archive(pages)
+    return warc.read_records(warc.find_captures(index, warc.url_keys(pages)), folder)
