@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, exact, langid, mixing, search, simhash, warc
+from lumenframe.llm import bpe, exact, langid, mixing, private, quality, search, simhash, warc
 from lumenframe.llm.common import is_held_out
 from lumenframe.plans.book import Book, table
 
@@ -86,3 +86,14 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("page_id", "url", "html")
     _, index, folder = warc.archive(pages)
     return warc.read_records(warc.find_captures(index, warc.url_keys(pages)), folder)
+
+
+@BOOK.add("op5_quality", "LLM5")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels").select("doc_id", "quality")
+    return quality.resample(docs, labels)
+
+
+@BOOK.add("op9_private", "LLM9")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    return private.summary(private.find_private(table(spark, d, "documents").select("doc_id", "text")))

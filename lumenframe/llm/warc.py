@@ -276,7 +276,10 @@ def read_records(captures: DataFrame, folder: str, payload: bool = False, span:
         if src is not None:
             src.close()
 
-    laid = captures.select("file", "offset", "length").repartition("file", F.floor(F.col("offset") / span)).sortWithinPartitions("file", "offset")
+    places = landed(captures.select("file", "offset", "length"), "warc-places")
+    size = places.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    parts = max(-(-size // span), captures.sparkSession.sparkContext.defaultParallelism)       # by what is read, not by the size of the places
+    laid = places.repartition(parts, "file", F.floor(F.col("offset") / span)).sortWithinPartitions("file", "offset")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if payload else "")
     return laid.mapInArrow(fetch, schema)
 
