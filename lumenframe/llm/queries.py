@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, exact, langid, mixing, private, quality, search, simhash, warc
+from lumenframe.llm import bpe, exact, langid, mixing, private, quality, search, simhash, suffix, warc
 from lumenframe.llm.common import is_held_out
 from lumenframe.plans.book import Book, table
 
@@ -17,6 +17,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@BOOK.add("op1_suffix_dedup", "LLM1")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    return suffix.suffix_dedup(table(spark, d, "documents").select("doc_id", "text"))
+
+
 @BOOK.add("op2_simhash", "LLM2")
 def op2(spark: SparkSession, d: str) -> DataFrame:
     rows = simhash.simhash_groups(table(spark, d, "documents").select("doc_id", "text"))
