@@ -36,9 +36,9 @@ from lumenframe.llm.common import landed
 
 WINDOW = 50
 GRAM = 20
-SHARD = 2_000_000
+SHARD = 1_000_000
 PIECES = 60_000
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 2 << 20
 FIRST = 5                          # bytes of the first sort
 BITS = 21                          # a rank or a place in a buffer
 LAST_ID = (1 << 63) - 1
@@ -231,7 +231,7 @@ def buffers(rows: Iterator[tuple[int, int, bytes, object]], shard: int, window:
 # ---- the Spark job ---------------------------------------------------------------------------------------------
 
 SHARED = "r long, shard long, docs binary, keys binary, ids binary, hashes binary, spans binary"
-AROUND = "r long, ids binary, hashes binary, starts binary, sizes binary, anchor binary, bytes binary"
+AROUND = "r long, docs binary, places binary, anchor binary, bytes binary"
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes, None]]:
@@ -344,27 +344,23 @@ def _around_shared(ranges: int, shard: int):
             if not len(place) or not len(wanted):
                 continue
             hashes = gram_hashes(buf.a)
-            r, key = range_of(hashes, ranges)
             at = anchors(hashes)[place]
-            full = (r[at].astype(U) << U(32)) | key[at].astype(U)
+            first = np.flatnonzero(np.concatenate(([True], (np.diff(place) != 1) | (np.diff(at) != 0))))
+            a, b = place[first], place[np.append(first[1:], len(place)) - 1] + WINDOW
+            r, key = range_of(hashes[at[first]], ranges)
+            full = (r.astype(U) << U(32)) | key.astype(U)
             hit = wanted[np.minimum(np.searchsorted(wanted, full), len(wanted) - 1)] == full
-            place, at, full = place[hit], at[hit], full[hit]
-            if not len(place):
-                continue
-            new = np.concatenate(([True], (np.diff(place) != 1) | (np.diff(at) != 0)))
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(place)) - 1
-            a, b, full = place[first], place[last] + WINDOW, full[first]
-            order = np.argsort(full, kind="stable")
-            a, b, full = a[order], b[order], full[order]
+            order = np.argsort(r[hit], kind="stable")
+            a, b, r, key = a[hit][order], b[hit][order], r[hit][order], key[hit][order]
             d = buf.piece[a]
-            rr = (full >> U(32)).astype(np.int64)
-            cut = np.concatenate(([0], np.flatnonzero(np.diff(rr)) + 1, [len(rr)]))
+            cut = np.concatenate(([0], np.flatnonzero(np.diff(r)) + 1, [len(r)])) if len(r) else []
             raw, out = buf.a.tobytes(), []
             for x, y in zip(cut, cut[1:], strict=False):
                 s = slice(x, y)
-                out.append((int(rr[x]), _blob(buf.ids[d[s]], "<i8"), _blob(buf.hashes[d[s]], "<i8"), _blob(a[s] - buf.starts[d[s]] + buf.offsets[d[s]], "<i8"),
-                            _blob(b[s] - a[s], "<u2"), _blob(full[s] & U(0xFFFFFFFF), "<u4"), b"".join(raw[p:q] for p, q in zip(a[s].tolist(), b[s].tolist(), strict=True))))
+                docs = np.stack((buf.ids[d[s]], buf.hashes[d[s]]))
+                places = np.stack((a[s] - buf.starts[d[s]] + buf.offsets[d[s]], b[s] - a[s]))
+                text = b"".join([raw[p:q] for p, q in zip(a[s].tolist(), b[s].tolist(), strict=True)])
+                out.append((int(r[x]), _packed(_blob(docs, "<i8")), _packed(_blob(places, "<u4")), _blob(key[s], "<u4"), _packed(text)))
             yield _batch(AROUND, out)
     return run
 
@@ -372,20 +368,30 @@ def _around_shared(ranges: int, shard: int):
 def _equal_windows(shard: int):
     """In one key range: the windows that also stand in a document with a smaller id, as runs per document."""
     def run(table: pa.Table) -> pa.Table:
-        col = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table[c].to_pylist()])
-        ids, hashes, starts = col("ids", "<i8"), col("hashes", "<i8"), col("starts", "<i8")
-        sizes, anchor, raw = col("sizes", "<u2").astype(np.int64), col("anchor", "<u4"), b"".join(table["bytes"].to_pylist())
+        ids, hashes = np.concatenate([np.frombuffer(zstandard.decompress(x.as_py()), "<i8").reshape(2, -1) for x in table["docs"]], axis=1)
+        starts, sizes = np.concatenate([np.frombuffer(zstandard.decompress(x.as_py()), "<u4").reshape(2, -1) for x in table["places"]], axis=1).astype(np.int64)
+        anchor = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table["anchor"]])
+        raw = b"".join([zstandard.decompress(x.as_py()) for x in table["bytes"]])
         begin = np.cumsum(sizes) - sizes
-        lots = max(1, -(-2 * len(raw) // shard))
-        lot = (anchor.astype(U) * U(lots) >> U(32)).astype(np.int64)
-        order = np.argsort(lot, kind="stable")
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(lot[order])) + 1, [len(order)]))
+        order = np.lexsort((ids, anchor))
+        lot = np.cumsum(sizes[order]) // (shard // 2)                      # about half a shard each; one anchor stays together
+        new = np.concatenate(([True], anchor[order[1:]] != anchor[order[:-1]]))
+        lot = lot[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        cut = np.concatenate(([0], np.flatnonzero(np.diff(lot)) + 1, [len(order)]))
         found = []
         for x, y in zip(cut, cut[1:], strict=False):
-            at = order[x:y]
-            buf = Buffer([(int(ids[k]), int(hashes[k]), int(starts[k]), raw[begin[k]:begin[k] + sizes[k]], None) for k in at])
+            seen: dict[bytes, int] = {}
+            pieces, whole = [], []
+            for k, i, h, at, p, n in zip(order[x:y].tolist(), *(v[order[x:y]].tolist() for v in (ids, hashes, starts, begin, sizes)), strict=True):
+                text = raw[p:p + n]
+                if seen.setdefault(text, i) < i:                            # the same bytes stand under a smaller id: all windows go
+                    whole.append(k)
+                else:
+                    pieces.append((i, h, at, text, None))
+            buf = Buffer(pieces)
             piece, a, b = buf.spans(buf.flagged())
             found.append((buf.ids[piece], buf.hashes[piece], a, b))
+            found.append((ids[whole], hashes[whole], starts[whole], starts[whole] + sizes[whole] - WINDOW + 1))
         cols = [np.concatenate([f[i] for f in found]) for i in range(4)]
         return pa.table(cols, names=["id", "h", "start", "end"])
     return run
@@ -412,6 +418,10 @@ def _cleaned(keep_text: bool):
     return run
 
 
+def _packed(data: bytes) -> bytes:
+    return zstandard.compress(data, 3)
+
+
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
