@@ -11,13 +11,18 @@ that runs across the edge of the window (byte-pair merges are fixed by neighbour
 share a token can be glued at it). If nothing agrees, the window ends up as the whole of both sides, so the result is
 always that of the library on the whole text.
 
+Texts of letters up to U+017F go word by word when the vocabulary file has the splitter whose rules `SPLIT` states: the
+library encodes every new word once, and a worker keeps the last words. All other texts go to the library whole.
+
 Defined results: null text counts as empty and has no tokens. Special tokens in a text are found as the library finds
 them; no cut falls into one. Repeated rows each get their own result. Extra columns pass through.
 """
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -31,11 +36,12 @@ from pyspark.sql import functions as F
 
 from lumenframe.llm.common import extended, landed
 
-LEAF = 32_768
+LEAF = 65_536
 WINDOW = 64
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 18
+CACHED_WORDS = 100_000
 KINDS = {"token_ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
-_LOADED: dict[str, object] = {}
+_LOADED: dict[object, object] = {}
 
 
 def read_vocabulary(path: str) -> str:
@@ -56,6 +62,76 @@ def tokenizer_of(spec: str):
     return _LOADED[spec]
 
 
+#: The normaliser and splitter of the word-level vocabulary file.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters for which NFC changes nothing and lower case is one character in the same range.
+SIMPLE = "\x00-\u012f\u0131-\u017f"
+
+
+class Words:
+    """Encodings of words as decimal ids and as decoded text, both joined by blanks."""
+
+    def __init__(self, tok, spec: str):
+        form = json.loads(spec)
+        pre = form.get("pre_tokenizer") or {}
+        first = (pre.get("pretokenizers") or [{}])[0]
+        self.usable = ((form.get("normalizer") or {}).get("normalizers") == NORMALIZERS and len(pre.get("pretokenizers") or []) == 2
+                       and first.get("pattern") == {"Regex": SPLIT} and first.get("invert") and first.get("behavior") == "Removed"
+                       and form["model"].get("end_of_word_suffix") == "</w>" and form.get("decoder") is None and form.get("post_processor") is None)
+        letters, numbers = ("".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[0] == kind) for kind in "LN")
+        self.split = re.compile(f"'(?:[stmd]|re|ve|ll)|[{letters}]+|[{numbers}]|[^\\t-\\r \x85\xa0{letters}{numbers}]+")
+        self.other = re.compile("|".join([f"[^{SIMPLE}]", *map(re.escape, special_strings(tok))]))
+        self.tok, self.held = tok, {}
+        self.tokens = {i: t for t, i in tok.get_vocab().items()} if self.usable else {}
+
+    def of(self, text: str) -> list[str] | None:
+        """The words of a simple text, None for any other."""
+        return None if not self.usable or self.other.search(text) else self.split.findall(text.lower())
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.held]
+        if len(self.held) + len(new) > CACHED_WORDS:
+            self.held, new = {}, list(words)
+        for at in range(0, len(new), 500):
+            part = new[at:at + 500]
+            ids: list[int] = []
+            done = []
+            for i in self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids:
+                ids.append(i)
+                if self.tokens[i].endswith("</w>"):
+                    done.append((" ".join(map(str, ids)), " ".join(self.tokens[j] for j in ids)))
+                    ids = []
+            self.held.update(zip(part, done, strict=True))
+
+
+def words_of(spec: str) -> Words:
+    if ("words", spec) not in _LOADED:
+        _LOADED["words", spec] = Words(tokenizer_of(spec), spec)
+    return _LOADED["words", spec]
+
+
+def encode_texts(spec: str, texts: list[str], want: Sequence[str]) -> list[pa.Array]:
+    """The wanted columns of some texts."""
+    tok, words = tokenizer_of(spec), words_of(spec)
+    split = [words.of(t) for t in texts]
+    words.learn({w for s in split if s for w in s})
+    rest = [i for i, s in enumerate(split) if s is None]
+    slow = dict(zip(rest, tok.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True)) if rest else {}
+    held, decode = words.held, any(w.startswith("decoded") for w in want)
+    numbers, decoded = [], []
+    for i, s in enumerate(split):
+        if s is None:
+            ids = slow[i].ids
+            numbers.append(" ".join(map(str, ids)))
+            decoded.append(tok.decode(ids, skip_special_tokens=False) if decode else "")
+        else:
+            pairs = [held[w] for w in s]
+            numbers.append(" ".join([p[0] for p in pairs]))
+            decoded.append(" ".join([p[1] for p in pairs]) if decode else "")
+    return _columns(numbers, decoded, want)
+
+
 @dataclass
 class Part:
     """Tokens of text[lo:hi]: ids, character spans in the text, and the number of the pre-token each belongs to."""
@@ -182,12 +258,18 @@ def special_strings(tok) -> list[str]:
     return [t.content for t in tok.get_added_tokens_decoder().values()]
 
 
-def _columns(tok, ids: list[list[int]], want: Sequence[str]) -> list[pa.Array]:
-    text = tok.decode_batch(ids, skip_special_tokens=False) if any(w.startswith("decoded") for w in want) else None
+def _columns(numbers: list[str], decoded: list[str], want: Sequence[str]) -> list[pa.Array]:
+    """From ids as decimal text and decoded texts."""
     sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
-    make = {"token_ids": lambda: pa.array(ids, pa.list_(pa.int32())), "n_tokens": lambda: pa.array(map(len, ids), pa.int64()),
-            "ids_sha256": lambda: pa.array([sha(" ".join(map(str, x))) for x in ids], pa.string()),
-            "decoded": lambda: pa.array(text, pa.string()), "decoded_sha256": lambda: pa.array(map(sha, text), pa.string())}
+
+    def ids():
+        parts = [np.array(n.split(), np.int32) for n in numbers]
+        ends = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+
+    make = {"token_ids": ids, "n_tokens": lambda: pa.array([n.count(" ") + 1 if n else 0 for n in numbers], pa.int64()),
+            "ids_sha256": lambda: pa.array(map(sha, numbers), pa.string()),
+            "decoded": lambda: pa.array(decoded, pa.string()), "decoded_sha256": lambda: pa.array(map(sha, decoded), pa.string())}
     return [make[w]() for w in want]
 
 
@@ -202,15 +284,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", k
     out = ", ".join([*types, *(f"{w} {KINDS[w]}" for w in want)])
 
     def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer_of(spec.value)
         for batch in batches:
             at = 0
             sizes = pa.compute.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
             while at < len(sizes):
                 n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BATCH_CHARS)))
                 part = batch.slice(at, n)
-                ids = [e.ids for e in tok.encode_batch_fast(part.column("text").to_pylist(), add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *_columns(tok, ids, want)], names=[*part.schema.names[:-1], *want])
+                found = encode_texts(spec.value, part.column("text").to_pylist(), want)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found], names=[*part.schema.names[:-1], *want])
                 at += n
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +316,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", k
             ids, start, end, word = (np.frombuffer(x, "<i4").astype(np.int64) for x in (r.ids, r.start, r.end, r.word))
             parts.append(Part(r.lo, r.lo + len(r.text), ids, start + r.lo, end + r.lo, word))
         ids = join_all(tok, text, parts).ids.tolist()
-        return pd.DataFrame({"uid": [pdf["uid"].iloc[0]], **{w: [c.to_pylist()[0]] for w, c in zip(want, _columns(tok, [ids], want), strict=True)}})
+        cols = _columns([" ".join(map(str, ids))], [tok.decode(ids, skip_special_tokens=False)], want)
+        return pd.DataFrame({"uid": [pdf["uid"].iloc[0]], **{w: [c.to_pylist()[0]] for w, c in zip(want, cols, strict=True)}})
 
     short = rows.where(~is_long).mapInArrow(direct, out)
     long = landed(rows.where(is_long).withColumn("uid", F.monotonically_increasing_id()), "bpe-long")
