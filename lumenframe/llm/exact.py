@@ -27,7 +27,7 @@ from lumenframe.llm.common import ASCII_SPACE, landed, same
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",      # many small stores: no space set aside in advance
 }
 LAST_ID = (1 << 63) - 1
