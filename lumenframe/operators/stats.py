@@ -84,15 +84,24 @@ def kendall_test(df: DataFrame, a: str, b: str) -> DataFrame:
                    lambda v: tails.normal_two_sided(3 * v["tau"] * math.sqrt(v["n"] * (v["n"] - 1)) / math.sqrt(2 * (2 * v["n"] + 5))))
 
 
-def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Independence of two categories. Cells without rows enter through n * (sum of o^2 / (row * col) - 1)."""
+def chi_square(df: DataFrame, a: str, b: str, correct: bool = True) -> DataFrame:
+    """Independence of two categories. Cells without rows enter through n * (sum of o^2 / (row * col) - 1).
+
+    Two by two tables get the continuity correction unless `correct` is false: with the same gap g in all four cells it
+    replaces g by g - min(1/2, g), so the statistic is scaled by the square of the ratio.
+    """
     cells = cut(df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b"))
                 .agg(F.count(F.lit(1)).alias("o")))
     row, col = (cells.groupBy(c).agg(F.sum("o").alias(f"n_{c}")) for c in ("a", "b"))
     o = F.col("o").cast("double")
     share = F.sum(o * o / (F.col("n_a").cast("double") * F.col("n_b")))
-    one = cells.join(row, "a").join(col, "b").agg((F.sum("o") * (share - 1)).alias("statistic"),
-                                                  ((F.count_distinct("a") - 1) * (F.count_distinct("b") - 1)).alias("df"))
+    gap = F.max(F.abs(o - F.col("n_a").cast("double") * F.col("n_b") / F.col("n")))
+    total = cells.agg(F.sum("o").alias("n"))
+    one = cells.join(row, "a").join(col, "b").join(F.broadcast(total), F.lit(True)).agg(
+        (F.sum("o") * (share - 1)).alias("statistic"), ((F.count_distinct("a") - 1) * (F.count_distinct("b") - 1)).alias("df"),
+        (F.count_distinct("a") * F.count_distinct("b")).alias("cells"), gap.alias("gap"))
+    shrink = F.when((F.col("cells") == 4) & F.lit(correct) & (F.col("gap") > 0), F.pow((F.col("gap") - F.least(F.lit(0.5), F.col("gap"))) / F.col("gap"), 2)).otherwise(1.0)
+    one = one.select((F.col("statistic") * shrink).alias("statistic"), "df")
     return _with_p(one, lambda v: tails.chi_square_upper(v["statistic"], v["df"]))
 
 

@@ -88,3 +88,10 @@ def _(s, d):
     path = fresh_path(s, "pages-csv")
     files.write_csv(table(s, d, "pages").select("page_id", "url"), path)
     return files.read_csv(s, path, "page_id bigint, url string")
+
+
+@BOOK.add("csv_with_line_breaks", "S10", """select doc_id, "text", lang from documents""")
+def _(s, d):
+    path = fresh_path(s, "documents-csv")
+    files.write_csv(table(s, d, "documents").select("doc_id", "text", "lang"), path)
+    return files.read_csv(s, path, "doc_id bigint, text string, lang string", multi_line=True)

@@ -103,6 +103,12 @@ def _(s, d):
     return graph.eigenvector_centrality(trade(s, d), ROUNDS, None).withColumn("ec", r6("ec"))
 
 
+@BOOK.add("eigenvector_centrality_converged", "G08")
+def _(s, d):
+    """The same to convergence: 100 rounds or a change below 1e-6."""
+    return graph.eigenvector_centrality(trade(s, d)).withColumn("ec", r6("ec"))
+
+
 @BOOK.add("clustering", "G09", f"""with {CLOSE}, t as (select x.src as id, count(*)::double as t from e x join e y on x.src = y.src and x.dst < y.dst
     join e z on z.src = x.dst and z.dst = y.dst group by 1), g as (select id, count(src) as k from v left join e on src = id group by 1)
   select id, round(case when k > 1 then 2 * coalesce(t, 0) / (k * (k - 1)) else 0 end, 6) as coeff from g left join t using (id)""")
@@ -125,6 +131,12 @@ def _(s, d):
     return graph.pagerank(trade(s, d), 0.85, ROUNDS, None).select("id", r6(F.col("pr") * 1000).alias("pr_thousandths"))
 
 
+@BOOK.add("pagerank_converged", "G10")
+def _(s, d):
+    """The same to convergence: 100 rounds or a change below 1e-6."""
+    return graph.pagerank(trade(s, d)).select("id", r6(F.col("pr") * 1000).alias("pr_thousandths"))
+
+
 @BOOK.add("measures_table", "G11")
 def _(s, d):
     out = graph.measures_table(close(s, d))
@@ -151,12 +163,15 @@ def _(s, d):
 
 @BOOK.add("random_walks", "G14")
 def _(s, d):
-    return graph.random_walks(close(s, d), length=30, walks=10)
+    """One row per walk with its nodes in order."""
+    walks = graph.random_walks(close(s, d), length=30, walks=200)
+    steps = F.array_sort(F.collect_list(F.struct("step", "node")))
+    return walks.groupBy("walk").agg(F.transform(steps, lambda x: x["node"]).alias("nodes"))
 
 
 @BOOK.add("node_embeddings", "G15")
 def _(s, d):
-    out = graph.node_embeddings(graph.random_walks(close(s, d), length=15, walks=5), dim=2, partitions=4)
+    out = graph.node_embeddings(graph.random_walks(close(s, d), length=30, walks=200), dim=2, partitions=s.sparkContext.defaultParallelism)
     from pyspark.ml.functions import vector_to_array
     return out.select("word", vector_to_array("vector").alias("v")).select("word", F.col("v")[0].alias("x"), F.col("v")[1].alias("y"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions.numbers import r6
 from lumenframe.operators import aggregate, clean, order, profile, relate, split
 from lumenframe.plans.book import Book, table
+from lumenframe.plans.statistics import sql_quantile
 
 BOOK = Book()
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -102,8 +103,9 @@ def _(s, d):
 
 
 @BOOK.add("density", "P11", """with e as (select min(o_totalprice) as lo, max(o_totalprice) as hi,
-    1.06 * stddev_samp(o_totalprice) * pow(count(*), -0.2) as h, count(*) as n from orders),
-  g as (select i as grid_id, lo + i * ((hi - lo) / 31) as point, h, n from e, unnest(range(32)) as u(i))
+    0.9 * least(stddev_samp(o_totalprice), (quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25)) / 1.34) * pow(count(*), -0.2) as h,
+    count(*) as n from orders),
+  g as (select i as grid_id, lo - 3 * h + i * ((hi - lo + 6 * h) / 31) as point, h, n from e, unnest(range(32)) as u(i))
   select grid_id, round(point, 4) as point, round(1e6 * sum(exp(-((o_totalprice - point) / h) * ((o_totalprice - point) / h) / 2)
     / (h * sqrt(2 * pi()))) / any_value(n), 6) as density_e6 from orders, g group by grid_id, point""")
 def _(s, d):
@@ -111,11 +113,12 @@ def _(s, d):
     return out.select(F.col("grid_id").cast("long").alias("grid_id"), r6("point", 4).alias("point"), r6(F.col("density") * 1e6).alias("density_e6"))
 
 
-@BOOK.add("qq_points", "P12", """select l_orderkey * 10 + l_linenumber as row_id, l_extendedprice as sample,
-  row_number() over (order by l_extendedprice, l_orderkey * 10 + l_linenumber) as "rank" from lineitem""")
+@BOOK.add("qq_points", "P12", f"""select row_id, sample, "rank", round({sql_quantile('(("rank" - 0.5::double) / n)')}, 6) + 0.0 as theoretical from (
+  select l_orderkey * 10 + l_linenumber as row_id, l_extendedprice as sample, count(*) over () as n,
+  row_number() over (order by l_extendedprice, l_orderkey * 10 + l_linenumber) as "rank" from lineitem)""")
 def _(s, d):
     line = table(s, d, "lineitem").withColumn("row_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    return profile.qq_points(line, "l_extendedprice", "row_id").select("row_id", "sample", "rank")
+    return profile.qq_points(line, "l_extendedprice", "row_id").select("row_id", "sample", "rank", r6("theoretical").alias("theoretical"))
 
 
 # ---- projections, filters, cleaning ----------------------------------------------------------------------------

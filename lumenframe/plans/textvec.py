@@ -89,7 +89,7 @@ def _(s, d):
 
 @BOOK.add("word2vec", "V08")
 def _(s, d):
-    model = textvec.word2vec(docs(s, d), W.word_tokens("text"), size=16, window=5, min_count=10, partitions=4)
+    model = textvec.word2vec(docs(s, d), W.word_tokens("text"), size=100, window=5, min_count=5, partitions=s.sparkContext.defaultParallelism)
     return model.getVectors().select("word", F.array_join(F.transform(vector_to_array("vector"), lambda v: F.round(v, 4).cast("string")), " ").alias("vector"))
 
 

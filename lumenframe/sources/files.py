@@ -9,10 +9,13 @@ from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, columns: list[str] | None = None,
-             encoding: str = "UTF-8", null_value: str = "", header: bool = True) -> DataFrame:
-    """CSV with a given schema; only the named columns are parsed."""
+             encoding: str = "UTF-8", null_value: str = "", header: bool = True, multi_line: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """CSV with a given schema; only the named columns are parsed, and a line that does not fit is an error.
+
+    Values with line breaks need multi_line, which makes every file one task: write many files of moderate size then.
+    """
     df = (spark.read.schema(schema).option("header", header).option("encoding", encoding).option("nullValue", null_value)
-          .option("escape", '"').option("multiLine", False).csv(path))
+          .option("escape", '"').option("multiLine", multi_line).option("mode", mode).csv(path))
     return df.select(*columns) if columns else df
 
 
@@ -23,10 +26,11 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def read_labelled_text_dir(spark: SparkSession, root: str, label_map: dict[str, int] | None = None,
-                           label_pattern: str = r"([^/]+)/[^/]+$") -> DataFrame:
-    """One row per text file: path, text and a label from the parent folder, mapped when a mapping is given."""
+                           label_pattern: str = r"([^/]+)/[^/]+$", glob: str = "*") -> DataFrame:
+    """One row per file, whatever its ending unless `glob` says so: path, text and a label from the parent folder, mapped
+    when a mapping is given."""
     # partition folders such as name=value stay plain folders because the lookup is recursive
-    files = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root, wholetext=True)
+    files = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
              .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
     label = F.regexp_extract("path", label_pattern, 1)
     if label_map:
