@@ -5,8 +5,9 @@ document draws its number of copies from a Poisson distribution with that mean b
 at a uniform number taken from a hash of seed and doc_id. Copies are exploded and sorted globally by a hash of (seed,
 doc_id, copy), which is a uniform shuffle and the same on every run.
 
-The distribution table is one row per source (not per document) and joins by source; adaptive execution broadcasts it
-when it measures as small and splits the rows of a hot source otherwise. Amounts are summed before the shuffle.
+The distribution table is one row per source (not per document) and joins by source: sent to every task when it was
+counted to hold few sources, which leaves the documents where they are, else by a join that adaptive execution splits
+for a hot source. Amounts are summed before the shuffle.
 
 Defined results: a null source is a source of its own; null text has length 0; a source whose texts are all empty has
 rate 0 for an amount of 0 and its documents go. Documents with the same doc_id draw the same number. A null doc_id
@@ -19,10 +20,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import same
+from lumenframe.llm.common import landed, same
 
 SEED = 7
 ALPHA = 0.7
+BROADCAST_SOURCES = 10_000
 DIGITS = 13                       # hexadecimal digits of a hash that make a number below 2^52
 
 
@@ -67,7 +69,9 @@ def source_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
 
 def replicate(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = SEED) -> DataFrame:
     """All columns of docs with rate, copy (from 1) and order_key, one row per copy."""
+    rates = landed(rates, "mixing-rates")
     table = rates.select(F.col("source").alias("_source"), F.col("rate"), poisson_table(F.col("rate")).alias("_cdf"))
+    table = F.broadcast(table) if rates.count() <= BROADCAST_SOURCES else table       # sources counted; beyond it an ordinary join
     rows = docs.drop("rate", "copy", "order_key").join(table, same(F.col(source_col), F.col("_source")))
     draw = hashed(F.lit(seed), F.col(id_col)) / F.lit(float(1 << 4 * DIGITS))
     copies = F.size(F.filter("_cdf", lambda p: p <= draw))
