@@ -12,7 +12,8 @@ from lumenframe.session import build_session
 HEADLINE = ["group_sum", "summary_stats", "top_k_per_group", "encode_first_seen", "running_sum", "covariance_matrix", "clean_review",
             "extract_issues", "extract_issues_phrases", "phrase_counts", "lexicon_sentiment", "build_vocab", "tfidf_top_terms",
             "encode_sequences", "class_mean_vectors", "nearest", "roc_curve", "spearman_test", "kendall_test", "degree_centrality",
-            "connected_components", "closeness", "clustering", "pagerank", "score_selections", "soft_kmeans_step", "linear_regression"]
+            "connected_components", "closeness", "clustering", "pagerank", "score_selections", "soft_kmeans_step", "linear_regression",
+            "cluster_top_terms", "truncated_svd"]
 
 
 def main() -> None:

@@ -116,11 +116,14 @@ def _reach(pivots: np.ndarray, radius: dict, near: dict, k: int) -> dict[int, fl
 
 
 def _block_join(left: DataFrame, right: DataFrame, pivots: np.ndarray, reach: dict[int, float], radius: dict[int, float],
-                sizes: dict[int, int], n_right: int, match, schema: str, block: int) -> DataFrame:
-    """Send right rows to every left cell they can matter to and run `match` per pair of blocks."""
+                sizes: dict[int, int], match, schema: str, block: int) -> DataFrame:
+    """Send right rows to every left cell they can matter to and run `match` per pair of blocks.
+
+    The rows sent are counted per cell, and the left rows of a cell are copied once per block of those, so copies follow
+    the candidates that pruning leaves, not the size of the right side.
+    """
     key_type = dict(left.dtypes)["id"]
     left_parts = {c: max(1, math.ceil(n / block)) for c, n in sizes.items()}
-    right_parts = max(1, math.ceil(n_right / block))
     cells = np.array(sorted(radius), dtype="int64")
     limit = np.array([radius[c] + reach[c] for c in cells])
 
@@ -130,13 +133,14 @@ def _block_join(left: DataFrame, right: DataFrame, pivots: np.ndarray, reach: di
             i, j = np.nonzero(_gaps(points, pivots[cells]) <= limit * (1 + SLACK) + SLACK)
             yield pd.DataFrame({"id": b["id"].to_numpy()[i], "v": b["v"].to_numpy()[i], "cell": cells[j].astype("int32")})
 
-    parts = F.element_at(F.create_map(*[F.lit(x) for c, n in left_parts.items() for x in (c, n)]), F.col("cell"))
+    b = cut(right.select("id", "v").mapInPandas(send, f"id {key_type}, v array<double>, cell int"))
+    sent = {r["cell"]: r["n"] for r in b.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}      # one row per cell
+    right_parts = {c: max(1, math.ceil(sent.get(c, 0) / block)) for c in sizes}
+    of_cell = lambda parts: F.element_at(F.create_map(*[F.lit(x) for c, n in parts.items() for x in (c, n)]), F.col("cell"))
+    numbers = lambda parts: F.explode(F.sequence(F.lit(0).cast("bigint"), (of_cell(parts) - 1).cast("bigint")))
     own = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
-    a = left.select("id", "v", "cell", F.pmod(own, parts).alias("lb")).withColumn(
-        "rb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(right_parts - 1).cast("bigint"))))
-    b = right.select("id", "v").mapInPandas(send, f"id {key_type}, v array<double>, cell int")
-    b = b.withColumn("rb", F.pmod(own, F.lit(right_parts)).cast("bigint")).withColumn(
-        "lb", F.explode(F.sequence(F.lit(0).cast("bigint"), (parts - 1).cast("bigint"))))
+    a = left.select("id", "v", "cell", F.pmod(own, of_cell(left_parts)).alias("lb")).withColumn("rb", numbers(right_parts))
+    b = b.withColumn("rb", F.pmod(own, of_cell(right_parts)).cast("bigint")).withColumn("lb", numbers(left_parts))
     keys = ["cell", "lb", "rb"]
     return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(match, schema)
 
@@ -186,7 +190,7 @@ def nearest(x: DataFrame, y: DataFrame, key: str, vec: str, k: int, exclude_self
             rows.append(ids[at][i]), cols.append(others[order[i, j]]), gaps.append(taken[i, j])
         return pd.DataFrame({"id": np.concatenate(rows), "other": np.concatenate(cols), "distance": np.concatenate(gaps)})
 
-    found = _block_join(left, right, centre, reach, radius, sizes, n_right, best,
+    found = _block_join(left, right, centre, reach, radius, sizes, best,
                         f"id {key_type}, other {key_type}, distance double", block)
     return top_k_per_group(found, ["id"], ["distance", "other"], k)
 
@@ -239,4 +243,4 @@ def similar_pairs(x: DataFrame, key: str, vec: str, min_cosine: float, pivots: i
                 out.append(pd.DataFrame({"src": ids[at][i], "dst": others[j], "cosine": c[i, j]}))
         return pd.concat(out, ignore_index=True)
 
-    return _block_join(cells, cells, centre, {c: far for c in radius}, radius, sizes, n, close, schema, block)
+    return _block_join(cells, cells, centre, {c: far for c in radius}, radius, sizes, close, schema, block)

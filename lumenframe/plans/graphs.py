@@ -165,8 +165,8 @@ def _(s, d):
 def _(s, d):
     """One row per walk with its nodes in order."""
     walks = graph.random_walks(close(s, d), length=30, walks=200)
-    steps = F.array_sort(F.collect_list(F.struct("step", "node")))
-    return walks.groupBy("walk").agg(F.transform(steps, lambda x: x["node"]).alias("nodes"))
+    steps = F.array_sort(F.collect_list(F.struct("step", "id")))
+    return walks.groupBy("walk").agg(F.transform(steps, lambda x: x["id"]).alias("nodes"))
 
 
 @BOOK.add("node_embeddings", "G15")

@@ -1,7 +1,15 @@
 import base64
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
 
 from lumenframe.sources import files, reshape
 
+ROOT = Path(__file__).resolve().parents[1]
+
 
 def test_csv_encoding_nulls_and_columns(spark, tmp_path):
     p = tmp_path / "latin.csv"
@@ -47,3 +55,36 @@ def test_matrix_json_and_code(spark):
     assert sorted((r[0], r[1]) for r in got.collect()) == [("a/b", 5), ("c", None)]
     c = spark.createDataFrame([("x/A.java", base64.b64encode(b"class A {}").decode()), ("x/b.py", "eA==")], "path string, content string")
     assert [tuple(r) for r in reshape.decode_code_files(c, "path", "content", "java").collect()] == [("x/A.java", "A.java", "class A {}")]
+
+
+def test_every_file_of_a_folder_is_read(spark, tmp_path):
+    for folder, name in (("pos", "1.txt"), ("pos", "2"), ("neg", "3.TXT")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(f"text {name}")
+    rows = files.read_labelled_text_dir(spark, str(tmp_path), {"pos": 1, "neg": 0}).collect()
+    assert sorted((r.label, r.text) for r in rows) == [(0, "text 3.TXT"), (1, "text 1.txt"), (1, "text 2")]
+    assert files.read_labelled_text_dir(spark, str(tmp_path), glob="*.txt").count() == 1
+
+
+def test_csv_keeps_line_breaks_and_refuses_bad_lines(spark, tmp_path):
+    rows = [(1, 'a\nb, "c"'), (2, "x")]
+    files.write_csv(spark.createDataFrame(rows, "id long, t string"), str(tmp_path / "a"))
+    back = files.read_csv(spark, str(tmp_path / "a"), "id long, t string", multi_line=True)
+    assert sorted(map(tuple, back.collect())) == rows
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, str(tmp_path / "a"), "id long, t string").collect()
+
+
+def test_package_reaches_workers_from_another_folder(tmp_path):
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2').getOrCreate()
+q = e.queries()['nearest']
+sys.path.remove({str(ROOT)!r})
+print('rows', len(q(s, '/root/testdata/sf0.001').collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows " in done.stdout, done.stderr[-2000:]
