@@ -84,11 +84,11 @@ def kendall_test(df: DataFrame, a: str, b: str) -> DataFrame:
                    lambda v: tails.normal_two_sided(3 * v["tau"] * math.sqrt(v["n"] * (v["n"] - 1)) / math.sqrt(2 * (2 * v["n"] + 5))))
 
 
-def chi_square(df: DataFrame, a: str, b: str, correct: bool = True) -> DataFrame:
+def chi_square(df: DataFrame, a: str, b: str, correct: bool = False) -> DataFrame:
     """Independence of two categories. Cells without rows enter through n * (sum of o^2 / (row * col) - 1).
 
-    Two by two tables get the continuity correction unless `correct` is false: with the same gap g in all four cells it
-    replaces g by g - min(1/2, g), so the statistic is scaled by the square of the ratio.
+    With `correct`, two by two tables get the continuity correction: with the same gap g in all four cells it replaces g
+    by g - min(1/2, g), so the statistic is scaled by the square of the ratio.
     """
     cells = cut(df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b"))
                 .agg(F.count(F.lit(1)).alias("o")))

@@ -176,7 +176,7 @@ def _(s, d):
   select round(q, 6) as statistic, 1 as df, {sql_two_sided('sqrt(q)')} as p_value from (select sum(pow(abs(o - x) - least(0.5, abs(o - x)), 2) / x) as q from e)""")
 def _(s, d):
     rows = table(s, d, "orders").select((F.col("o_orderstatus") == "F").alias("done"), (F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
-    return stats.chi_square(rows, "done", "urgent").select(r6("statistic").alias("statistic"), F.col("df").cast("int").alias("df"), p4())
+    return stats.chi_square(rows, "done", "urgent", correct=True).select(r6("statistic").alias("statistic"), F.col("df").cast("int").alias("df"), p4())
 
 
 def sql_quantile(p):
