@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -9,6 +10,8 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -46,6 +49,31 @@ def tfidf_vectors(df: DataFrame, tokens: Column, min_df: int = 1, out: str = "fe
     return rows, counter.vocabulary
 
 
+class SmoothIdf(Estimator, HasInputCol, HasOutputCol):
+    """Weights ln((1 + n) / (1 + df)) + 1 learned from the rows it is fitted on; all ones when useIdf is off."""
+
+    useIdf = Param(Params._dummy(), "useIdf", "weigh terms by inverse document frequency", TypeConverters.toBoolean)
+
+    def __init__(self, inputCol: str, outputCol: str, useIdf: bool = True):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol, useIdf=useIdf)
+
+    def _fit(self, dataset: DataFrame) -> ElementwiseProduct:
+        if self.getOrDefault(self.useIdf):
+            weights = IDF(inputCol=self.getInputCol(), outputCol="_idf").fit(dataset).idf.toArray() + 1
+        else:
+            weights = np.ones(dataset.select(self.getInputCol()).first()[0].size)
+        return ElementwiseProduct(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), scalingVec=Vectors.dense(weights))
+
+
+def tfidf_classifier(tokens_col: str, classifier, features: str = "features") -> tuple[Pipeline, SmoothIdf, Normalizer]:
+    """Vocabulary, weights, norm and classifier as one estimator, so that cross-validation fits all of it on its training folds."""
+    counter = CountVectorizer(inputCol=tokens_col, outputCol="_tf", vocabSize=MAX_TERMS)
+    weigh = SmoothIdf("_tf", "_w")
+    norm = Normalizer(inputCol="_w", outputCol=features, p=2.0)
+    return Pipeline(stages=[counter, weigh, norm, classifier]), weigh, norm
+
+
 def linear_regression(df: DataFrame, features: list[str], target: str):
     """Least squares without penalty. Returns (model, predictions)."""
     rows = assemble(df, features)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions import words as W
 from lumenframe.functions.numbers import r6
+from lumenframe.functions.ordering import cut
 from lumenframe.operators import models
 from lumenframe.operators.aggregate import class_mean_vectors
 from lumenframe.plans.book import Book, table
@@ -112,6 +113,7 @@ def _(s, d):
 
 @BOOK.add("grid_search", "M11")
 def _(s, d):
+    """One set of vectors for all folds: quick, but vocabulary and weights have seen the held-out folds."""
     rows, _ = models.tfidf_vectors(labelled(s, d).select("doc_id", "quality", "text"), W.word_tokens("text", W.WORD2), keep=["doc_id", "quality"])
     lr = LogisticRegression(labelCol="quality", standardization=False, maxIter=20)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01]).build()
@@ -119,6 +121,18 @@ def _(s, d):
     return s.createDataFrame([(float(p[lr.regParam]), float(a)) for p, a in zip(grid, found.avgMetrics)], "reg_param double, accuracy double")
 
 
+@BOOK.add("grid_search_pipeline", "M11")
+def _(s, d):
+    """Term weights on and off against the penalty over ten folds; vocabulary and weights are learned inside each fold."""
+    rows = cut(labelled(s, d).select("doc_id", "quality", W.word_tokens("text", W.WORD2).alias("tokens")))
+    lr = LogisticRegression(labelCol="quality", standardization=False, maxIter=20)
+    pipeline, weigh, _ = models.tfidf_classifier("tokens", lr)
+    grid = ParamGridBuilder().addGrid(weigh.useIdf, [True, False]).addGrid(lr.regParam, [0.001, 0.01]).build()
+    found = models.grid_search(rows, "doc_id", "quality", pipeline, grid, folds=10, parallelism=s.sparkContext.defaultParallelism)
+    return s.createDataFrame([(p[weigh.useIdf], float(p[lr.regParam]), float(a)) for p, a in zip(grid, found.avgMetrics)],
+                             "use_idf boolean, reg_param double, accuracy double")
+
+
 def points(s, d):
     return models.point_vectors(table(s, d, "embeddings"), "embedding")
 
