@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
@@ -87,15 +89,14 @@ def fixed_sign(components: np.ndarray) -> np.ndarray:
 
 
 def pca(df: DataFrame, vec: str, k: int) -> PcaModel:
-    """Principal components of the rows (population variances)."""
-    width = _width(df, vec)
-    mean_rows = vector_entries(df, vec).groupBy("dim").agg(F.avg("value").alias("m"), F.var_pop("value").alias("v")).collect()
-    mean = np.zeros(width)
-    for r in mean_rows:
-        mean[r["dim"]] = r["m"]
-    total = float(sum(r["v"] for r in mean_rows))
-    fitted = PCA(k=k, inputCol="x", outputCol="y").fit(
-        df.select(array_to_vector(F.transform(vec, lambda v: v.cast("double"))).alias("x")))
+    """Principal components of the rows (population variances). Width, mean and variances come from one pass."""
+    points = df.where(F.col(vec).isNotNull()).select(array_to_vector(F.transform(vec, lambda v: v.cast("double"))).alias("x"))
+    sums = points.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("x")).alias("s")).select("s.*").first()
+    mean, n = sums["mean"].toArray(), sums["count"]
+    if not 0 < len(mean) <= MAX_WIDTH:
+        raise ValueError(f"vectors must have between 1 and {MAX_WIDTH} coordinates, got {len(mean)}")
+    total = float(sums["variance"].toArray().sum() * (n - 1) / n)
+    fitted = PCA(k=k, inputCol="x", outputCol="y").fit(points)
     components = fixed_sign(np.asarray(fitted.pc.toArray()).T)
     return PcaModel(mean, components, np.asarray(fitted.explainedVariance.toArray()) * total, total)
 
@@ -135,11 +136,29 @@ def pca_error_curve(df: DataFrame, vec: str, ks: list[int], limit: float | None
 
 def truncated_svd(df: DataFrame, vec: str, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Singular values and right vectors (k x width) of a column of ML vectors; rows stay on the executors."""
-    points = MLUtils.convertVectorColumnsFromML(cut(df.select(F.col(vec).alias("x"))), "x")
-    svd = RowMatrix(points).computeSVD(k, computeU=False)
+    points = MLUtils.convertVectorColumnsFromML(cut(df.select(F.col(vec).alias("x"))), "x").persist()   # read once per round
+    try:
+        svd = RowMatrix(points).computeSVD(k, computeU=False)
+    finally:
+        points.unpersist()
     return np.asarray(svd.s.toArray()), fixed_sign(np.asarray(svd.V.toArray()).T)
 
 
+def reduced_rows(df: DataFrame, vec: str, components: np.ndarray, out: str = "reduced") -> DataFrame:
+    """Rows times the right vectors of truncated_svd; a row touches only the columns in which it is not zero.
+
+    The components (k x width, model data that the fit already holds) are sent to each worker once.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(components.T))
+
+    @F.pandas_udf("array<double>")
+    def times(vectors: pd.DataFrame) -> pd.Series:
+        table = shared.value            # a vector arrives as its parts; dense ones have no indices
+        return pd.Series([np.asarray(x) @ (table if i is None else table[np.asarray(i, dtype=int)])
+                          for i, x in zip(vectors["indices"], vectors["values"], strict=True)])
+    return df.withColumn(out, times(vec))
+
+
 def projection_matrix(basis: list[list[float]]) -> np.ndarray:
     """B (B^T B)^-1 B^T for a width x m basis; a plain list is one direction."""
     b = np.asarray(basis, dtype=float)

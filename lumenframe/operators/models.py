@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from lumenframe.functions.joins import spread
 from lumenframe.functions.ordering import cut
 from lumenframe.operators.linear import literal_matrix, standardize, vector_entries
-from lumenframe.operators.order import top_k_per_group
 from lumenframe.operators.split import assign_folds
 
 MAX_TERMS = 1 << 20
@@ -101,11 +100,11 @@ def regression_standardized(train: DataFrame, test: DataFrame, features: list[st
     return model, model.transform(assemble(standardize(test, features, fit_on=train), names))
 
 
-def logistic_regression(rows: DataFrame, label: str, penalty: str = "l2", c: float = 1.0, max_iter: int = 100):
+def logistic_regression(rows: DataFrame, label: str, penalty: str = "l2", c: float = 1.0, max_iter: int = 100, tol: float = 1e-6):
     """Binary classifier on a vector column 'features'; c is the inverse penalty weight over the sum of losses."""
     n = rows.count()
     return LogisticRegression(labelCol=label, regParam=1.0 / (c * n), elasticNetParam=1.0 if penalty == "l1" else 0.0,
-                              standardization=False, maxIter=max_iter).fit(rows)
+                              standardization=False, maxIter=max_iter, tol=tol).fit(rows)
 
 
 def odds_ratios(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -178,12 +177,21 @@ def kmeans_elbow(rows: DataFrame, ks: list[int], max_iter: int = 100, seed: int
     return rows.sparkSession.createDataFrame(sorted(costs), "k int, inertia double")
 
 
+def top_of_centres(centres, vocabulary: list[str], spark, n: int = 20) -> DataFrame:
+    """Heaviest terms of each centre (cluster, term, weight); only n rows per centre leave numpy."""
+    terms, cells = np.asarray(vocabulary, dtype=object), []
+    for c, centre in enumerate(np.asarray(centres)):
+        used = np.flatnonzero(centre > 0)
+        if len(used) > n:
+            used = used[centre[used] >= np.partition(centre[used], -n)[-n]]      # ties at the edge are settled by name
+        best = sorted(zip(-centre[used], terms[used]))[:n]
+        cells += [(c, str(t), float(-w)) for w, t in best]
+    return spark.createDataFrame(cells, "cluster int, term string, weight double")
+
+
 def cluster_top_terms(model, vocabulary: list[str], spark, n: int = 20) -> DataFrame:
-    """Heaviest terms of each cluster centre; centres are model data of clusters x terms."""
-    cells = [(c, vocabulary[i], float(centre[i])) for c, centre in enumerate(model.clusterCenters())
-             for i in np.flatnonzero(centre > 0)]
-    table = spark.createDataFrame(cells, "cluster int, term string, weight double")
-    return top_k_per_group(table, ["cluster"], ["-weight", "term"], n)
+    """Heaviest terms of each cluster centre of a fitted model."""
+    return top_of_centres(model.clusterCenters(), vocabulary, spark, n)
 
 
 def _squared_gap(centre: Column, point: Column) -> Column:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("relational", "text", "textvec", "vectors", "statistics", "graphs", "models", "files")
+MODULES = ("relational", "text", "textvec", "vectors", "statistics", "graphs", "models", "files", "laws")
 
 
 def registry() -> dict:

@@ -41,7 +41,16 @@ def _(s, d):
     return coefficients(s, model, ["l_quantity"]).withColumn("coefficient", r6("coefficient", 4))
 
 
-@BOOK.add("linear_regression_predictions", "M01")
+NORMAL = """q as (select l_orderkey, l_linenumber, l_quantity::double as x1, l_discount::double as x2, l_tax::double as x3, l_extendedprice::double as y from lineitem),
+  s as (select avg(x1) as m1, avg(x2) as m2, avg(x3) as m3, avg(y) as my, var_pop(x1) as a, covar_pop(x1, x2) as b, covar_pop(x1, x3) as c, var_pop(x2) as d,
+    covar_pop(x2, x3) as e, var_pop(x3) as f, covar_pop(x1, y) as p, covar_pop(x2, y) as q, covar_pop(x3, y) as r from q),
+  t as (select *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) as det from s),
+  w as (select *, (p * (d * f - e * e) - b * (q * f - e * r) + c * (q * e - d * r)) / det as b1, (a * (q * f - e * r) - p * (b * f - c * e) + c * (b * r - q * c)) / det as b2,
+    (a * (d * r - q * e) - b * (b * r - q * c) + p * (b * e - d * c)) / det as b3 from t)"""
+
+
+@BOOK.add("linear_regression_predictions", "M01", f"""with {NORMAL} select l_orderkey, l_linenumber,
+  round(my + b1 * (x1 - m1) + b2 * (x2 - m2) + b3 * (x3 - m3), 2) as prediction from q, w""")
 def _(s, d):
     _, out = models.linear_regression(table(s, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
     return out.select("l_orderkey", "l_linenumber", r6("prediction", 2).alias("prediction"))

@@ -109,11 +109,17 @@ def _(s, d):
     return linear.pca_wide(means, "label", "mean", 4).table(s)
 
 
+def document_vectors(s, d):
+    return tfidf_vectors(table(s, d, "documents").select("doc_id", "text"), W.word_tokens("text", W.WORD2), keep=["doc_id"])[0]
+
+
 @BOOK.add("truncated_svd", "L12")
 def _(s, d):
-    rows, _ = tfidf_vectors(table(s, d, "documents").select("doc_id", "text"), W.word_tokens("text", W.WORD2), min_df=5, keep=["doc_id"])
-    values, _ = linear.truncated_svd(rows, "features", 5)
-    return s.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "component int, singular_value double")
+    """Every document in 120 components."""
+    rows = document_vectors(s, d)
+    _, components = linear.truncated_svd(rows, "features", 120)
+    reduced = linear.reduced_rows(rows, "features", components).select("doc_id", F.posexplode("reduced").alias("component", "value"))
+    return reduced.withColumn("value", r6("value"))
 
 
 BASIS = [float(j % 3 + 1) for j in range(64)]
