@@ -38,13 +38,18 @@ def spread(df: DataFrame) -> DataFrame:
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", hot: list | None = None,
                 salts: int = SALTS) -> DataFrame:
-    """Equality join on one column; rows of hot keys are spread over `salts` tasks."""
+    """Equality join on one column; rows of hot keys are spread over `salts` tasks.
+
+    The salt is a hash of the row and its partition, so equal rows spread too and a repeated task sends them to the
+    same place. Rows with a null key match nothing; in a salted join they are spread like those of a hot key.
+    """
     hot = hot_keys(big, key) if hot is None else hot
     if not hot:
         return big.join(small, key, how)
     is_hot = F.col(key).isin(hot)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c, t in big.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int")
-    left = big.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
+    row = [F.col(c) for c, t in big.dtypes if "map<" not in t and "variant" not in t]
+    lot = F.pmod(F.xxhash64(*row, F.spark_partition_id()), F.lit(salts)).cast("int")
+    left = big.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), lot).otherwise(F.lit(0)))
     right = small.withColumn("_salt", F.explode(
         F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     return left.join(right, [key, "_salt"], how).drop("_salt")

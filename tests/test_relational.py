@@ -47,6 +47,15 @@ def test_salted_join_equals_plain_join(spark):
             joins.salted_join(big, small, "k", how, hot=[1]).exceptAll(big.join(small, "k", how)).isEmpty()
 
 
+def test_salted_join_with_equal_rows_and_nulls(spark):
+    key = F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 4 == 1, 2).cast("int").alias("k")
+    big = spark.range(0, 4000, 1, 8).select(key)
+    small = spark.createDataFrame([(1, "a")], "k int, v string")
+    for how, n in (("inner", 2000), ("left", 4000), ("left_semi", 2000), ("left_anti", 2000)):
+        out = joins.salted_join(big, small, "k", how, hot=[1])
+        assert out.count() == n
+        assert out.groupBy(*out.columns).count().exceptAll(big.join(small, "k", how).groupBy(*out.columns).count()).isEmpty()
+
 def test_small_side_is_checked(spark):
     with pytest.raises(Exception, match="more than 5 rows"):
         joins.pair_with_small(spark.range(3), spark.range(6).withColumnRenamed("id", "j"), 5).collect()
