@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lumenframe.operators import aggregate, linear, models, neighbours
@@ -112,6 +113,14 @@ def test_svd_matches_numpy(cloud):
     assert np.allclose(values, np.linalg.svd(x, compute_uv=False)[:2]) and v.shape == (2, 6)
 
 
+def test_reduced_rows_of_dense_and_sparse_vectors(spark):
+    vectors = [Vectors.dense([1.0, 2.0, 3.0]), Vectors.sparse(3, [0, 2], [4.0, 5.0]), Vectors.sparse(3, [], [])]
+    df = spark.createDataFrame(list(enumerate(vectors)), ["id", "v"])
+    components = np.array([[1.0, 0.0, 2.0], [0.0, 1.0, -1.0]])
+    got = [r["reduced"] for r in linear.reduced_rows(df, "v", components).orderBy("id").collect()]
+    assert got == [[7.0, -1.0], [14.0, -5.0], [0.0, 0.0]]
+
+
 def test_soft_kmeans_and_elbow(cloud):
     x, df = cloud
     centres, costs = models.soft_kmeans(df, "v", x[[0, 60, 200]].tolist(), beta=1.0, max_iter=6)
