@@ -5,15 +5,16 @@ that fails its check (parts, Luhn, digits) is dropped without a retry. The patte
 written so that matching is linear: a run is entered at its start only, and repeats are possessive.
 
 Method: every distinct value found is a protected entity. Over the whole corpus it is counted in how many documents a
-term stands within `CONTEXT` characters of an entity, n(t, e), and in how many documents the term occurs at all, n(t).
+term and an entity occur together, n(t, e), and in how many documents the term occurs at all, n(t).
 Knowing t leaves -log2 p(e|t) bits of e unknown, with p(e|t) = n(t, e) / n(t), and gains log2(p(e|t) / p(e)) bits. A
 term discloses e if at most `LEFT_BITS` stay unknown, at least `GAIN_BITS` are gained, and `SUPPORT` documents say so.
 Such terms are marked, in whole texts, wherever the document names an entity that they disclose; in `sanitised` a term
 with digits is generalised to their number and any other term is removed. Documents without personal data stay as
 they are.
 
-What is counted are mentions and the words next to them, so the counts follow the mentions; words of all documents are
-matched against the terms with enough support only. Pairs are combined before each shuffle.
+Words are those of the whole text, at any distance from the entity, each once per document. Pairs are counted for the
+entities that `SUPPORT` documents name; words of all documents are matched against the terms of such pairs only. Pairs
+are combined before each shuffle.
 
 Defined results: null and empty texts have no spans. Repeated rows each get their own result and count as documents of
 their own. A null doc_id stays null. An empty table gives an empty result. Offsets are code points, ends exclusive.
@@ -37,7 +38,6 @@ PATTERNS = (
 HINTS = (r"@[A-Za-z0-9-]", r"[0-9]\.[0-9]++\.[0-9]", r"[0-9](?:[\x20-]?[0-9]){15}", r"\+[0-9]")
 TERM = r"[\p{L}\p{N}]+"
 TERM_KIND = "term"
-CONTEXT = 80
 SUPPORT = 2
 LEFT_BITS = 1.0
 GAIN_BITS = 4.0
@@ -71,7 +71,7 @@ def _by_kind(kind: Column, make) -> Column:
 
 
 def rows_with_hits(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(uid, doc_id, text where a pattern may match) of all documents, and all candidates with what stands around them."""
+    """(uid, doc_id, text where a pattern may match) of all documents, and all candidates with the length of the gap before."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     kinds = F.filter(F.array(*[F.when(F.col("text").rlike(h), F.lit(i)) for i, h in enumerate(HINTS)]), lambda x: x.isNotNull())
     rows = (docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("kinds", kinds)
@@ -81,18 +81,16 @@ def rows_with_hits(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     wide = (rows.where(F.size("kinds") > 0).select("uid", "text", F.explode("kinds").alias("kind"))
             .withColumn("parts", _by_kind(kind, lambda p: F.split("text", p, -1)))
             .withColumn("hits", _by_kind(kind, lambda p: F.regexp_extract_all("text", F.lit(p), F.lit(0)))))
-    around = F.transform("hits", lambda h, i: F.struct(
-        h.alias("hit"), F.length(F.get("parts", i)).alias("gap"), F.right(F.get("parts", i), F.lit(CONTEXT)).alias("before"),
-        F.left(F.get("parts", i + 1), F.lit(CONTEXT)).alias("after")))
-    return rows, wide.where(F.size("hits") > 0).select("uid", "kind", F.posexplode(around).alias("no", "h")).select("uid", "kind", "no", "h.*")
+    placed = F.transform("hits", lambda h, i: F.struct(h.alias("hit"), F.length(F.get("parts", i)).alias("gap")))
+    return rows, wide.where(F.size("hits") > 0).select("uid", "kind", F.posexplode(placed).alias("no", "h")).select("uid", "kind", "no", "h.*")
 
 
 def base_spans(hits: DataFrame) -> DataFrame:
-    """(uid, kind, start, end, hit, before, after) of the candidates that pass their check."""
+    """(uid, kind, start, end, hit) of the candidates that pass their check."""
     up_to = Window.partitionBy("uid", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap").cast("long") + F.length("hit")).over(up_to)
     placed = hits.withColumn("end", end).withColumn("start", F.col("end") - F.length("hit"))
-    return placed.where(_valid(F.col("kind"), F.col("hit"))).select("uid", "kind", "start", "end", "hit", "before", "after")
+    return placed.where(_valid(F.col("kind"), F.col("hit"))).select("uid", "kind", "start", "end", "hit")
 
 
 def _entity(kind: Column, hit: Column) -> Column:
@@ -104,22 +102,30 @@ def _words(text: Column) -> Column:
 
 
 def mentions(spans: DataFrame) -> DataFrame:
-    """(uid, entity, term): words near an entity, once per document; words cut by the edge of the context are left out."""
-    before = F.when(F.length("before") == CONTEXT, F.regexp_replace("before", f"^{TERM}", "")).otherwise(F.col("before"))
-    after = F.when(F.length("after") == CONTEXT, F.regexp_replace("after", f"{TERM}$", "")).otherwise(F.col("after"))
-    near = spans.select("uid", _entity(F.col("kind"), F.col("hit")).alias("entity"),
-                        F.explode(_words(F.concat_ws(" ", before, after))).alias("term"))
-    return near.distinct()
+    """(uid, entity): the entities that a document names, once per document."""
+    return spans.select("uid", _entity(F.col("kind"), F.col("hit")).alias("entity")).distinct()
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, n_docs: int, text_col: str = "text", support: int = SUPPORT,
+def pairs(rows: DataFrame, named: DataFrame, entities: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(entity, term, n_both): in how many documents a word of the text and an entity occur together, from `support` on.
+
+    Entities of fewer documents cannot get there and go first. The entities of a document are one row, so a frequent
+    entity is no key of a join with texts; equal pairs are counted in the tasks before they are sent.
+    """
+    able = named.join(entities.where(F.col("n_entity") >= support).select("entity"), "entity")
+    listed = able.groupBy("uid").agg(F.collect_list("entity").alias("entities"))
+    words = (rows.where(F.col("text").isNotNull()).join(listed, "uid")
+             .select("entities", F.explode(F.array_distinct(_words(F.col("text")))).alias("term")))
+    together = words.select(F.explode("entities").alias("entity"), "term")
+    return together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
+
+
+def disclosing(docs: DataFrame, rows: DataFrame, spans: DataFrame, n_docs: int, text_col: str = "text", support: int = SUPPORT,
                left_bits: float = LEFT_BITS, gain_bits: float = GAIN_BITS) -> DataFrame:
     """(entity, term, n_both, n_term, n_entity, left_bits, gain_bits) of the terms that give an entity away."""
-    near = landed(mentions(spans), "private-mentions")
-    both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    both = landed(both, "private-pairs")
-    entities = (spans.select("uid", _entity(F.col("kind"), F.col("hit")).alias("entity")).distinct()
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
+    named = landed(mentions(spans), "private-mentions")
+    entities = landed(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "private-entities")
+    both = landed(pairs(rows, named, entities, support), "private-pairs")
     terms = landed(both.select("term").distinct(), "private-terms")
     known = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms        # size counted; beyond it an ordinary join
     words = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col(text_col), F.lit(""))))).alias("term"))
@@ -132,8 +138,7 @@ def disclosing(docs: DataFrame, spans: DataFrame, n_docs: int, text_col: str = "
 
 def term_spans(rows: DataFrame, spans: DataFrame, found: DataFrame) -> DataFrame:
     """(uid, kind, start, end) of the disclosing terms in the documents that name their entity, outside base spans."""
-    named = spans.select("uid", _entity(F.col("kind"), F.col("hit")).alias("entity")).distinct()
-    wanted = named.join(found.select("entity", "term"), "entity").select("uid", "term").distinct()
+    wanted = mentions(spans).join(found.select("entity", "term"), "entity").select("uid", "term").distinct()
     texts = rows.where(F.col("text").isNotNull()).join(wanted.select("uid").distinct(), "uid").select(
         "uid", F.split("text", TERM, -1).alias("parts"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("words"))
     each = texts.select("uid", F.posexplode(F.transform("words", lambda w, i: F.struct(w.alias("w"), F.length(F.get("parts", i)).alias("gap")))).alias("no", "x"))
@@ -157,7 +162,7 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sorted by kind (number in KINDS, then terms) and start."""
     rows, hits = rows_with_hits(docs, id_col, text_col)
     spans = landed(base_spans(hits), "private-spans")
-    found = landed(disclosing(docs, spans, rows.count(), text_col, support, left_bits, gain_bits), "private-disclosing")
+    found = landed(disclosing(docs, rows, spans, rows.count(), text_col, support, left_bits, gain_bits), "private-disclosing")
     every = spans.select("uid", "kind", "start", "end").unionByName(term_spans(rows, spans, found))
     listed = every.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")

@@ -416,6 +416,40 @@ def test_terms_that_disclose_are_marked_and_clean_documents_left_alone(spark):
     assert "write to [EMAIL] for tea" in clean.values()
 
 
+def terms_by_hand(texts, least_gain):
+    """Free spans of disclosing terms per document, from sets of words and entities of whole documents."""
+    rows = []
+    for i, t in texts:
+        base, words = base_spans(t), [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]+", t)]
+        norm = {"email": str.lower, "ip": str.lower}
+        names = {(k, norm.get(k, lambda x: re.sub("[^0-9]", "", x))(t[a:b])) for k in CONTRACT for a, b in base[k]}
+        rows.append((i, [x for k in CONTRACT for x in base[k]], words, names))
+    n_term = Counter(w for r in rows for w in {x[2] for x in r[2]})
+    n_name = Counter(e for r in rows for e in r[3])
+    n_both = Counter((e, w) for r in rows for e in r[3] for w in {x[2] for x in r[2]})
+    found = defaultdict(set)
+    for (e, w), n in n_both.items():
+        info, left = math.log2(len(rows) / n_name[e]), math.log2(n_term[w] / n)
+        if n >= 2 and left <= 1 and info - left >= least_gain(info) - 1e-12:
+            found[e].add(w)
+    return {i: [(a, b) for a, b, w in words if any(w in found[e] for e in names) and all(b <= x or a >= y for x, y in spans)] for i, spans, words, names in rows}
+
+
+def marked_terms(found):
+    return {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == 4] for r in found.collect()}
+
+
+def test_terms_around_a_card_with_digits_and_other_entities(spark):
+    card = "4111 1111 1111 1111"
+    texts = [(i, f"Zyxomir Quell, flat 7, pays with {card}, ref9x Morlan {i}, e{i}@a.org on 2020-01-02 or bo@b.org, Tarn") for i in range(3)]
+    texts += [(10 + i, f"flat {i} pays with ref by phone on 2020-01-0{i % 9} of house {i}") for i in range(60)]
+    texts += [(90, "no 5 then 8, Oldo bo@b.org 12 Tarn"), (91, "10.0.0.1 7 Umbra 3 10.0.0.2"), (92, "10.0.0.1 9 Umbra 4")]
+    got = marked_terms(private.find_private(docs_of(spark, texts)))
+    assert got == terms_by_hand(texts, lambda info: 4.0)
+    words = {dict(texts)[0][a:b] for a, b in got[0]}
+    assert {"Zyxomir", "Quell", "ref9x", "Morlan", "Tarn"} <= words
+
+
 # ---- 10 exact duplicates -----------------------------------------------------------------------------------------
 
 
