@@ -450,6 +450,15 @@ def test_terms_around_a_card_with_digits_and_other_entities(spark):
     assert {"Zyxomir", "Quell", "ref9x", "Morlan", "Tarn"} <= words
 
 
+def test_terms_far_from_the_entity_count(spark):
+    """A name in letter head and signature, near the address in one document of four only."""
+    gap = "so it goes on and on " * 100
+    texts = [(0, "Dear Zyxomir bo@b.org " + gap)] + [(i, f"Zyxomir {gap} bo@b.org {gap} Quell9") for i in (1, 2, 3)] + [(10 + i, gap) for i in range(60)]
+    got = marked_terms(private.find_private(docs_of(spark, texts)))
+    assert [[dict(texts)[i][a:b] for a, b in got[i]] for i in range(4)] == [["Zyxomir"]] + [["Zyxomir", "Quell9"]] * 3
+    assert got == terms_by_hand(texts, lambda info: 4.0)
+
+
 # ---- 10 exact duplicates -----------------------------------------------------------------------------------------
 
 
