@@ -7,7 +7,8 @@ written so that matching is linear: a run is entered at its start only, and repe
 Method: every distinct value found is a protected entity. Over the whole corpus it is counted in how many documents a
 term and an entity occur together, n(t, e), and in how many documents the term occurs at all, n(t).
 Knowing t leaves -log2 p(e|t) bits of e unknown, with p(e|t) = n(t, e) / n(t), and gains log2(p(e|t) / p(e)) bits. A
-term discloses e if at most `LEFT_BITS` stay unknown, at least `GAIN_BITS` are gained, and `SUPPORT` documents say so.
+term discloses e if at most `LEFT_BITS` stay unknown, something and at least the share `GAIN_SHARE` of -log2 p(e) is
+gained, and `SUPPORT` documents say so; nothing can be gained of an entity that all documents name.
 Such terms are marked, in whole texts, wherever the document names an entity that they disclose; in `sanitised` a term
 with digits is generalised to their number and any other term is removed. Documents without personal data stay as
 they are.
@@ -40,7 +41,7 @@ TERM = r"[\p{L}\p{N}]+"
 TERM_KIND = "term"
 SUPPORT = 2
 LEFT_BITS = 1.0
-GAIN_BITS = 4.0
+GAIN_SHARE = 0.5
 BROADCAST_TERMS = 200_000
 
 
@@ -121,7 +122,7 @@ def pairs(rows: DataFrame, named: DataFrame, entities: DataFrame, support: int =
 
 
 def disclosing(docs: DataFrame, rows: DataFrame, spans: DataFrame, n_docs: int, text_col: str = "text", support: int = SUPPORT,
-               left_bits: float = LEFT_BITS, gain_bits: float = GAIN_BITS) -> DataFrame:
+               left_bits: float = LEFT_BITS, gain_share: float = GAIN_SHARE) -> DataFrame:
     """(entity, term, n_both, n_term, n_entity, left_bits, gain_bits) of the terms that give an entity away."""
     named = landed(mentions(spans), "private-mentions")
     entities = landed(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "private-entities")
@@ -133,7 +134,8 @@ def disclosing(docs: DataFrame, rows: DataFrame, spans: DataFrame, n_docs: int,
     scored = (both.join(anywhere, "term").join(entities, "entity")
               .withColumn("left_bits", -F.log2(F.col("n_both") / F.col("n_term")))
               .withColumn("gain_bits", F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_term") * F.col("n_entity")))))
-    return scored.where((F.col("left_bits") <= left_bits) & (F.col("gain_bits") >= gain_bits))
+    own = F.log2(F.lit(float(n_docs)) / F.col("n_entity"))
+    return scored.where((F.col("left_bits") <= left_bits) & (F.col("gain_bits") > 0) & (F.col("gain_bits") >= own * gain_share))
 
 
 def term_spans(rows: DataFrame, spans: DataFrame, found: DataFrame) -> DataFrame:
@@ -157,12 +159,12 @@ def term_spans(rows: DataFrame, spans: DataFrame, found: DataFrame) -> DataFrame
 
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-                 left_bits: float = LEFT_BITS, gain_bits: float = GAIN_BITS) -> DataFrame:
+                 left_bits: float = LEFT_BITS, gain_share: float = GAIN_SHARE) -> DataFrame:
     """One row per document: uid, doc_id, text (null where no pattern can match) and spans, an array of (kind, start, end)
     sorted by kind (number in KINDS, then terms) and start."""
     rows, hits = rows_with_hits(docs, id_col, text_col)
     spans = landed(base_spans(hits), "private-spans")
-    found = landed(disclosing(docs, rows, spans, rows.count(), text_col, support, left_bits, gain_bits), "private-disclosing")
+    found = landed(disclosing(docs, rows, spans, rows.count(), text_col, support, left_bits, gain_share), "private-disclosing")
     every = spans.select("uid", "kind", "start", "end").unionByName(term_spans(rows, spans, found))
     listed = every.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")

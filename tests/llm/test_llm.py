@@ -445,7 +445,7 @@ def test_terms_around_a_card_with_digits_and_other_entities(spark):
     texts += [(10 + i, f"flat {i} pays with ref by phone on 2020-01-0{i % 9} of house {i}") for i in range(60)]
     texts += [(90, "no 5 then 8, Oldo bo@b.org 12 Tarn"), (91, "10.0.0.1 7 Umbra 3 10.0.0.2"), (92, "10.0.0.1 9 Umbra 4")]
     got = marked_terms(private.find_private(docs_of(spark, texts)))
-    assert got == terms_by_hand(texts, lambda info: 4.0)
+    assert got == terms_by_hand(texts, lambda info: 0.5 * info)
     words = {dict(texts)[0][a:b] for a, b in got[0]}
     assert {"Zyxomir", "Quell", "ref9x", "Morlan", "Tarn"} <= words
 
@@ -456,7 +456,19 @@ def test_terms_far_from_the_entity_count(spark):
     texts = [(0, "Dear Zyxomir bo@b.org " + gap)] + [(i, f"Zyxomir {gap} bo@b.org {gap} Quell9") for i in (1, 2, 3)] + [(10 + i, gap) for i in range(60)]
     got = marked_terms(private.find_private(docs_of(spark, texts)))
     assert [[dict(texts)[i][a:b] for a, b in got[i]] for i in range(4)] == [["Zyxomir"]] + [["Zyxomir", "Quell9"]] * 3
-    assert got == terms_by_hand(texts, lambda info: 4.0)
+    assert got == terms_by_hand(texts, lambda info: 0.5 * info)
+
+
+def test_terms_of_an_entity_that_a_third_of_the_documents_carry(spark):
+    texts = [(i, f"Zyxomir of shop@x.org sells tea {'Half' * (i % 2)}") for i in range(4)] + [(10 + i, f"some tea {'Half' * (i == 0)} is fine") for i in range(8)]
+    for copies in (1, 10):                       # the same documents in a small and a larger table
+        rows = [(100 * c + i, t) for c in range(copies) for i, t in texts]
+        got = marked_terms(private.find_private(docs_of(spark, rows)))
+        assert got == terms_by_hand(rows, lambda info: 0.5 * info)
+        assert all({dict(rows)[i][a:b] for a, b in got[i]} >= {"Zyxomir", "of", "sells"} for i in (0, 1, 2, 3))
+        assert all({dict(rows)[i][a:b] for a, b in got[i]}.isdisjoint({"tea", "is"}) for i in got)
+    every = [(i, "Zyxomir of shop@x.org") for i in range(5)]
+    assert not any(marked_terms(private.find_private(docs_of(spark, every))).values())
 
 
 # ---- 10 exact duplicates -----------------------------------------------------------------------------------------
