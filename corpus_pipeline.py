@@ -13,16 +13,25 @@ from lumenframe.llm.common import is_held_out, landed
 from lumenframe.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Below this share of the largest possible closeness a text resembles no known language.
-LEAST_SCORE = 0.1
+#: Below this share of the median score of a language's training documents a text is not in that language.
+LEAST_SHARE = 0.6
+
+
+def least_scores(trained: DataFrame) -> DataFrame:
+    """(lang_pred, least): LEAST_SHARE of the median score per language over all training documents, exact to three digits."""
+    counts = trained.where(F.col("lang").isNotNull() & (F.col("lang_pred") != langid.UNDECIDED)).groupBy(
+        "lang", F.round("score", 3).alias("score")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(F.col("lang").alias("lang_pred")).agg((F.percentile("score", F.lit(0.5), F.col("n")) * LEAST_SHARE).alias("least"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns as op4 does and rejects texts without letters, or so far from every profile that they are in no known language."""
+    """Learns as op4 does and rejects texts without letters, or far less like the nearest profile than its training documents."""
     rows = docs.select(*COLUMNS)
-    profiles = landed(langid.train_profiles(rows.where(~is_held_out())), "profiles")
-    found = langid.predict(rows, profiles)
-    return found.where((F.col("lang_pred") != langid.UNDECIDED) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    training = rows.where(~is_held_out())
+    profiles = landed(langid.train_profiles(training), "profiles")
+    least = landed(least_scores(langid.predict(training.select("text", "lang"), profiles)), "least-scores")
+    found = langid.predict(rows, profiles).join(F.broadcast(least), "lang_pred")       # languages, bounded by the model
+    return found.where(F.col("score") >= F.col("least")).select(*COLUMNS)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,6 +57,20 @@ def test_stages_in_order_and_their_decisions(spark):
     assert last.count() == want and last.where("size(token_ids) <> n_tokens").count() == 0
 
 
+def test_language_stage_rejects_other_languages_and_hex_dumps(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    foreign = ["La casa era silenziosa quando il ragazzo tornò dalla scuola e trovò sua madre che preparava la cena con le verdure del giardino.",
+               "Talo oli hiljainen kun poika palasi koulusta ja löysi äitinsä valmistamassa illallista puutarhan vihanneksista.",
+               "Dom był cichy, kiedy chłopiec wrócił ze szkoły i zobaczył matkę przygotowującą kolację z warzyw z ogrodu.",
+               "Ngôi nhà yên tĩnh khi cậu bé trở về từ trường và thấy mẹ đang nấu bữa tối với rau trong vườn.",
+               "4f6e2063 e3a1 9bd4 0fce 77aa b00b deadbeef cafe 1f8b 0800 ffd8 ffe0 d0cf 11e0 " * 5]
+    clean = [r.text[:80] for r in docs.where("text is not null").orderBy("doc_id").limit(20).collect()]
+    more = [(6002 + 10_000 * k, t, None, "src1", len(t)) for k, t in enumerate(foreign + clean)]
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(more, docs.schema)), FOLDER).collect()}
+    assert kept.isdisjoint(m[0] for m in more[:len(foreign)]) and kept >= {m[0] for m in more[len(foreign):]}
+    assert kept >= {r.doc_id for r in docs.where("length(text) > 0").collect()}
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
