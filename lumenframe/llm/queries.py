@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.llm import bpe, exact, langid, mixing, private, quality, search, simhash, suffix, warc
-from lumenframe.llm.common import is_held_out
+from lumenframe.llm.common import is_held_out, landed
 from lumenframe.plans.book import Book, table
 
 BOOK = Book()
@@ -49,10 +49,9 @@ counts as (select doc_id, drawn.source, rate, len(list_filter(ps, lambda p: p <=
 select doc_id, source, rate, c.copy::int as copy, ('0x' || substr(md5('{mixing.SEED}:' || doc_id || ':' || c.copy), 1, {mixing.DIGITS}))::bigint as order_key
 from (select doc_id, source, round(rate, 9) as rate, unnest(range(1, n + 1)) as copy from counts) c""")
 def op6(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "source", "text")
-    rates = mixing.source_rates(docs)
-    rows = mixing.replicate(docs.drop("text"), rates).withColumn("rate", F.round("rate", 9))
-    return mixing.shuffled(rows.select("doc_id", "source", "rate", "copy", "order_key"))
+    """The mixed documents are written with all columns; the rows of the SQL are read from them."""
+    mixed = landed(mixing.mix(table(spark, d, "documents")), "mix")
+    return mixing.shuffled(mixed.select("doc_id", "source", F.round("rate", 9).alias("rate"), "copy", "order_key"))
 
 
 @BOOK.add("op7_bpe", "LLM7")

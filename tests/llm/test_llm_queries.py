@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lumenframe.llm import mixing
+from lumenframe.llm import mixing, queries
+from lumenframe.llm.common import landed
 from lumenframe.llm.queries import BOOK
 from tests.llm.test_llm import components, prints
 from tools.check import TABLES, compare
@@ -71,6 +72,18 @@ def test_language_stage_rejects_other_languages_and_hex_dumps(spark):
     assert kept >= {r.doc_id for r in docs.where("length(text) > 0").collect()}
 
 
+def test_mix_query_shuffles_whole_documents(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "landed", lambda df, label: written.append(landed(df, label)) or written[-1])
+    got = BOOK.entries["op6_mix"].run(spark, FOLDER)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    assert set(docs.columns) <= set(written[0].columns)
+    texts = {(r.doc_id, r.text) for r in docs.collect()}
+    copies = [(r.doc_id, r.copy, r.text) for r in written[0].collect()]
+    assert {(i, t) for i, _, t in copies} <= texts
+    assert sorted((i, c) for i, c, _ in copies) == sorted((r.doc_id, r.copy) for r in got.collect())
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
