@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, exact, langid, mixing, private, quality, search, simhash, suffix, warc
+from lumenframe.llm import bpe, exact, langid, mixing, periodic, private, quality, search, simhash, suffix, warc
 from lumenframe.llm.common import is_held_out, landed
 from lumenframe.plans.book import Book, table
 
@@ -101,3 +101,23 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 @BOOK.add("op9_private", "LLM9")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     return private.summary(private.find_private(table(spark, d, "documents").select("doc_id", "text")))
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth text by crc32 of its id ends in a repeated stretch of its own words, as the contract of op11 asks."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    marked = docs.withColumn("_h", h).withColumn("_w", F.when(F.col("_h") % 10 == 0, words))
+    n, g = F.size("_w"), F.floor(F.col("_h") / 10)
+    plan = (marked.withColumn("_a", F.when(n > 0, (g % n).cast("int")))
+            .withColumn("_p", F.when(n > 0, (1 + F.floor((n - F.col("_a")) / (3 + g % 8))).cast("int"))))
+    tail = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("_w", F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))))
+    return plan.withColumn("text", F.when(F.col("_a").isNotNull(), F.array_join(tail, " ")).otherwise(F.col("text"))).select(*docs.columns)
+
+
+@BOOK.add("op11_periodic_runs", "LLM11")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    found = periodic.find_runs(repeated_tails(table(spark, d, "documents").select("doc_id", "text")))
+    best = F.col("strongest")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+                        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
