@@ -26,8 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-
-from lumenframe.llm.common import extended
+from pyspark.sql.types import StructType
 
 LEAST = 24                    # words in a run
 TIMES = 3                     # periods in a run
@@ -257,7 +256,7 @@ def find_runs(docs: DataFrame, text_col: str = "text", keep_text: bool = False,
         made["collapsed"] = "string"
     carried = docs.select(*[c for c in docs.columns if c != text_col and c not in made])
     rows = docs.select(*carried.columns, docs[text_col].alias("collapsed"))
-    schema = extended(carried, **made)
+    schema = StructType([*carried.schema.fields, *StructType.fromDDL(", ".join(f"{c} {t}" for c, t in made.items())).fields])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = ("start", "length", "period")
