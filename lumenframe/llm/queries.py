@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, exact, langid, mixing, periodic, private, quality, search, simhash, suffix, warc
+from lumenframe.llm import bpe, capfilter, exact, langid, mixing, periodic, private, quality, search, simhash, suffix, warc
 from lumenframe.llm.common import is_held_out, landed
 from lumenframe.plans.book import Book, table
 
@@ -121,3 +121,22 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
     best = F.col("strongest")
     return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
                         F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+NEAR_VECTORS_SQL = """
+with recursive usable as (select vec_id, embedding::double[] as e from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as src, b.vec_id as dst from usable a join usable b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, other) as (select vec_id, vec_id from embeddings union select reach.vec_id, links.dst from reach join links on links.src = reach.other),
+heads as (select vec_id, min(other) as component_id from reach group by vec_id),
+counts as (select src, count(*) as n from links group by src)
+select heads.vec_id, coalesce(n, 0)::bigint as n_links, component_id, heads.vec_id = component_id as kept
+from heads left join counts on counts.src = heads.vec_id"""
+
+
+@BOOK.add("op12_near_vectors", "LLM12", NEAR_VECTORS_SQL)
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    rows = capfilter.near_vectors(table(spark, d, "embeddings").select("vec_id", "embedding"))
+    return rows.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
