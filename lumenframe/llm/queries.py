@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, capfilter, exact, langid, mixing, periodic, private, quality, search, simhash, suffix, warc
+from lumenframe.functions.joins import salted_join
+from lumenframe.llm import bpe, capfilter, exact, langid, mixing, periodic, private, quality, search, simhash, suffix, trie, warc
 from lumenframe.llm.common import is_held_out, landed
 from lumenframe.plans.book import Book, table
 
@@ -140,3 +141,53 @@ from heads left join counts on counts.src = heads.vec_id"""
 def op12(spark: SparkSession, d: str) -> DataFrame:
     rows = capfilter.near_vectors(table(spark, d, "embeddings").select("vec_id", "embedding"))
     return rows.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+HEAD_TURNS = 6        # a rebuilt conversation starts with fewer turns than this of its base
+BASE = 100            # conversations of one base
+
+
+def rebuilt_turns(turns: DataFrame, convs: DataFrame) -> DataFrame:
+    """(conv_id, pos, tid, size) of every conversation after its first turns are exchanged for those of its base."""
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEAD_TURNS
+    base = F.col("conv_id") - F.pmod("conv_id", F.lit(BASE))
+    heads = turns.where((F.pmod("conv_id", F.lit(BASE)) == 0) & (F.col("pos") < HEAD_TURNS)).withColumnRenamed("conv_id", "base")
+    lent = convs.withColumns({"base": base, "h": h}).join(heads, "base").where(F.col("pos") <= F.col("h")).select("conv_id", "pos", "tid", "size")
+    held = heads.groupBy("base").agg(F.count(F.lit(1)).alias("held"))
+    own = salted_join(turns.withColumns({"base": base, "h": h}).where(F.col("pos") > F.col("h")), held, "base")
+    place = F.col("pos") - F.col("h") + F.least("h", F.coalesce("held", F.lit(0).cast("long")))
+    return lent.unionByName(own.select("conv_id", place.alias("pos"), "tid", "size"))
+
+
+TRIE_SQL = """
+with recursive ids as (select distinct conv_id from conversations where conv_id is not null),
+crc(conv_id, i, v) as (select conv_id, 0, 4294967295::bigint from ids union all
+  select conv_id, i + 1, xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end)
+  from (select conv_id, i, case when i % 8 = 0 then xor(v, ascii(substr(conv_id::varchar, i // 8 + 1, 1))::bigint) else v end as x
+        from crc where i < 8 * length(conv_id::varchar))),
+h as (select conv_id, conv_id - (conv_id % 100 + 100) % 100 as base, xor(v, 4294967295) % 6 as h from crc where i = 8 * length(conv_id::varchar)),
+t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first) as pos, {'r': coalesce(role, ''), 't': coalesce(text, '')} as said
+      from conversations where conv_id is not null),
+rebuilt as (select h.conv_id, pos, said from h join t on t.conv_id = h.base and pos <= h
+  union all select t.conv_id, pos - h + least(h, (select count(*) from t b where b.conv_id = h.base)), said from t join h on t.conv_id = h.conv_id and pos > h),
+m as (select conv_id, pos as depth, said, list(said) over (partition by conv_id order by pos) as path from rebuilt
+  union all select conv_id, 0, null, [] from ids),
+keyed as (select conv_id, depth, length(said.t) as size, md5(path::varchar) as key, md5(path[:depth - 1]::varchar) as up,
+  max(depth) over (partition by conv_id) as n from m),
+nodes as (select key, depth, any_value(case when depth > 0 then up end) as up, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size,
+  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n = depth), '')) as ends_sha256 from keyed group by key, depth),
+kids as (select up as key, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all),
+full_nodes as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (key, depth)),
+subtree as (select a.key, a.depth, sum(case when f.n_children = 0 then 1 else 0 end) as n_leaves, sum((f.n_convs - 1) * coalesce(f.size, 0)) as saved_tokens
+  from full_nodes f join keyed a on a.conv_id = f.conv_id and a.depth <= f.depth group by all)
+select f.conv_id, f.depth::bigint as depth, p.conv_id as parent_conv_id, f.n_convs::bigint as n_convs, f.n_children::bigint as n_children,
+  s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, f.ends_sha256
+from full_nodes f join subtree s using (key, depth) left join nodes p on p.key = f.up and p.depth = f.depth - 1"""
+
+
+@BOOK.add("op13_conversation_trie", "LLM13", TRIE_SQL)
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations")
+    convs = landed(rows.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id")).distinct(), "trie-convs")
+    turns = landed(trie.numbered_turns(trie.encoded_turns(rows)), "trie-turns")
+    return trie.prefix_trie(rebuilt_turns(turns, convs), convs)

@@ -24,7 +24,7 @@ def con():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in BOOK.entries) == list(range(1, 13))
+    assert sorted(int(n.split("_")[0][2:]) for n in BOOK.entries) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [n for n, q in BOOK.entries.items() if q.sql])
