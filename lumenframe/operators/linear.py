@@ -4,15 +4,15 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.functions.ordering import cut
 from lumenframe.operators.aggregate import vector_entries
+from lumenframe.operators.svd import svd_model
 
 MAX_WIDTH = 8_192     # a width x width matrix is the only thing that reaches the driver
 
@@ -135,13 +135,13 @@ def pca_error_curve(df: DataFrame, vec: str, ks: list[int], limit: float | None
 
 
 def truncated_svd(df: DataFrame, vec: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Singular values and right vectors (k x width) of a column of ML vectors; rows stay on the executors."""
-    points = MLUtils.convertVectorColumnsFromML(cut(df.select(F.col(vec).alias("x"))), "x").persist()   # read once per round
-    try:
-        svd = RowMatrix(points).computeSVD(k, computeU=False)
-    finally:
-        points.unpersist()
-    return np.asarray(svd.s.toArray()), fixed_sign(np.asarray(svd.V.toArray()).T)
+    """Singular values and right vectors (k x width) as arrays, for narrow data; svd_model keeps the vectors as a table."""
+    model, width = svd_model(df, vec, k), df.select(vector_width(vec).alias("w")).agg(F.max("w")).first()[0]
+    return model.values, fixed_sign(model.components(width))
+
+
+def vector_width(vec: str) -> Column:
+    return F.when(F.col(vec).isNotNull(), F.size(vector_to_array(vec)))
 
 
 def reduced_rows(df: DataFrame, vec: str, components: np.ndarray, out: str = "reduced") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions import words as W
 from lumenframe.functions.numbers import r6
-from lumenframe.operators import graph, linear, models, textvec
+from lumenframe.operators import graph, linear, models, svd, textvec
 from lumenframe.operators.aggregate import class_mean_vectors
 from lumenframe.plans.book import Book, table
 from lumenframe.plans.graphs import CLOSE, close
@@ -63,14 +63,14 @@ def _(s, d):
     return linear.pca_wide(means, "label", "mean", 4).table(s).select("component", r6(F.col("variance") / F.col("share")).alias("total"))
 
 
-@BOOK.add("truncated_svd_pairs", "L12", """select i::int as component, (select count(*) from documents) as n, 0.0::double as gap from range(20) as u(i)""")
+@BOOK.add("truncated_svd_pairs", "L12", """select i::int as component, (select count(*) from documents) as n, 0.0::double as gap from range(120) as u(i)""")
 def _(s, d):
     """Rows in the coordinates of the right vectors have the singular values as column lengths."""
     rows = document_vectors(s, d)
-    values, components = linear.truncated_svd(rows, "features", 20)
-    cells = linear.reduced_rows(rows, "features", components).select(F.posexplode("reduced").alias("component", "value"))
+    model = svd.svd_model(rows, "features", 120)
+    cells = model.transform(rows, "features", ["doc_id"]).select(F.posexplode("reduced").alias("component", "value"))
     length = F.sqrt(F.sum(F.col("value") * F.col("value")))
-    want = F.get(linear.literal_vector(values), F.col("component"))
+    want = F.get(linear.literal_vector(model.values), F.col("component"))
     return (cells.groupBy("component").agg(F.count(F.lit(1)).alias("n"), length.alias("length"))
             .select("component", "n", F.abs(r6(F.col("length") - want, 4)).alias("gap")))
 

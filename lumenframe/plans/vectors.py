@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions.numbers import r6
 from lumenframe.functions import words as W
-from lumenframe.operators import linear, neighbours
+from lumenframe.operators import linear, neighbours, svd
 from lumenframe.operators.aggregate import class_mean_vectors
 from lumenframe.operators.models import tfidf_vectors
 from lumenframe.plans.book import Book, table
@@ -117,9 +117,19 @@ def document_vectors(s, d):
 def _(s, d):
     """Every document in 120 components."""
     rows = document_vectors(s, d)
-    _, components = linear.truncated_svd(rows, "features", 120)
-    reduced = linear.reduced_rows(rows, "features", components).select("doc_id", F.posexplode("reduced").alias("component", "value"))
-    return reduced.withColumn("value", r6("value"))
+    return components_of(svd.svd_model(rows, "features", 120).transform(rows, "features", ["doc_id"]))
+
+
+def components_of(reduced):
+    return reduced.select("doc_id", F.posexplode("reduced").alias("component", "value")).withColumn("value", r6("value"))
+
+
+@BOOK.add("truncated_svd_held_out", "L12")
+def _(s, d):
+    """A quarter of the documents in the 120 components that the others have."""
+    rows = document_vectors(s, d)
+    model = svd.svd_model(rows.where("doc_id % 4 <> 0"), "features", 120)
+    return components_of(model.transform(rows.where("doc_id % 4 = 0"), "features", ["doc_id"]))
 
 
 BASIS = [float(j % 3 + 1) for j in range(64)]
