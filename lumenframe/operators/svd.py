@@ -125,8 +125,7 @@ class _Rows:
         """The columns of the block by range, with their rows of data."""
         part = self.columns >> RANGE
         names, first = np.unique(part, return_index=True)
-        ends = [*first[1:].tolist(), len(part)]
-        pieces = list(zip(first.tolist(), ends, strict=True))
+        pieces = list(zip(first.tolist(), [*first[1:].tolist(), len(part)]))           # none without columns
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.int32()), pa.array([self.block] * len(names), pa.int64()), pa.array([self.columns[a:b].tobytes() for a, b in pieces], pa.binary()),
              pa.array([None if data is None else data[a:b].astype("<f4").tobytes() for a, b in pieces], pa.binary())], names=["part", "block", "columns", "data"])
