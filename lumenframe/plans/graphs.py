@@ -87,6 +87,42 @@ def _(s, d):
     return graph.betweenness(close(s, d)).withColumn("bc", r6("bc"))
 
 
+@BOOK.add("betweenness_sources", "G07", f"""with recursive {CLOSE}, {PATHS}, f as (select min(vec_id) as id from embeddings group by "label"),
+  n as (select (select count(*) from v)::double as n, (select count(*) from f)::double as k),
+  b as (select x.v as id, sum(x.sigma * y.sigma / z.sigma) as raw from r x join r y on x.v = y.s join r z on z.s = x.s and z.v = y.v
+    where x.s in (select id from f) and x.d + y.d = z.d and x.s <> x.v and y.v <> x.v group by 1)
+  select v.id, round(coalesce(raw, 0) * n / k / ((n - 1) * (n - 2)), 6) as bc from v left join b using (id), n""")
+def _(s, d):
+    """Only paths from one vector of each label."""
+    firsts = table(s, d, "embeddings").groupBy("label").agg(F.min("vec_id").alias("id"))
+    return graph.betweenness(close(s, d), sources=firsts).withColumn("bc", r6("bc"))
+
+
+@BOOK.add("betweenness_pivots", "G07")
+def _(s, d):
+    """An estimate from 64 drawn sources, with its standard error."""
+    g = close(s, d)
+    return graph.betweenness(g, sources=graph.pivots(g, 64), spread=True).select("id", r6("bc").alias("bc"), r6("bc_error").alias("bc_error"))
+
+
+@BOOK.add("closeness_estimate", "G05", f"with {CLOSE} select id, true as near_exact from v")
+def _(s, d):
+    """Whether the estimate from sketches is within 8 % (five standard errors) of the exact value."""
+    return near_exact(s, d, graph.closeness, "cc")
+
+
+@BOOK.add("harmonic_estimate", "G06", f"with {CLOSE} select id, true as near_exact from v")
+def _(s, d):
+    """Whether the estimate from sketches is within 8 % (five standard errors) of the exact value."""
+    return near_exact(s, d, graph.harmonic, "hc")
+
+
+def near_exact(s, d, measure, name):
+    g = close(s, d)
+    about = measure(g, graph.distance_sketch(g)).withColumnRenamed(name, "about")
+    return measure(g).join(about, "id").select("id", (F.abs(F.col("about") - F.col(name)) <= 0.08 * F.col(name)).alias("near_exact"))
+
+
 ROUNDS = 8
 
 
