@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions.joins import HOT_KEYS, HOT_ROWS, hot_keys, salted_join
 from lumenframe.functions.ordering import cut, laid_out, rank_in_group, ranked, value_steps
+from lumenframe.operators.skipgram import skipgram
 
 ROUNDS_PER_CUT = 4
 SUMS_PER_CUT = 8
@@ -425,6 +426,13 @@ def node_embeddings(walks: DataFrame, dim: int = 2, window: int = 10, seed: int
                     inputCol="nodes", outputCol="v").fit(sentences).getVectors()
 
 
+def node_vectors(walks: DataFrame, dim: int = 2, window: int = 10, passes: int = 5, seed: int = 1) -> DataFrame:
+    """(word, vector) per node by the skip-gram of operators.skipgram, for graphs whose vectors do not fit one machine."""
+    lists = walks.groupBy("walk").agg(F.array_sort(F.collect_list(F.struct("step", "id"))).alias("_s"))
+    sentences = lists.select(F.transform("_s", lambda s: s["id"].cast("string")).alias("nodes"))
+    return skipgram(sentences, F.col("nodes"), dim, window, 1, passes=passes, seed=seed).select(F.col("token").alias("word"), "vector")
+
+
 def euler_check(g: Graph) -> DataFrame:
     """Number of odd nodes, whether all edges hang together, and tour, path or none."""
     linked = Graph(g.edges, cut(g.edges.select(F.col("src").alias("id")).distinct()), g.n, g.hot)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lumenframe.functions import words as W
 from lumenframe.functions.joins import spread
 from lumenframe.functions.numbers import r6
-from lumenframe.operators import textvec
+from lumenframe.functions.ordering import cut
+from lumenframe.operators import skipgram, textvec
 from lumenframe.plans.book import Book, table
 
 BOOK = Book()
@@ -93,6 +94,21 @@ def _(s, d):
     return model.getVectors().select("word", F.array_join(F.transform(vector_to_array("vector"), lambda v: F.round(v, 4).cast("string")), " ").alias("vector"))
 
 
+@BOOK.add("word_vectors", "V08", f"with {ROWS} select token, count(*) as n, 100 as width, true as moved from rows_ group by 1 having count(*) >= 5")
+def _(s, d):
+    """Five passes with the vectors spread over the tasks; every vector has left the small cube it was drawn from."""
+    out = skipgram.skipgram(docs(s, d), W.word_tokens("text"), size=100, window=5, min_count=5, passes=5)
+    return out.select("token", "n", F.size("vector").alias("width"), F.exists("vector", lambda x: F.abs(x) > 0.005).alias("moved"))
+
+
+@BOOK.add("similar_words", "V08")
+def _(s, d):
+    """The ten words nearest to each of the twenty most frequent ones."""
+    vectors = cut(skipgram.skipgram(docs(s, d), W.word_tokens("text"), size=100, window=5, min_count=5, passes=5))
+    asked = vectors.orderBy(F.desc("n"), "token").limit(20).select(F.col("token").alias("word"))
+    return skipgram.similar_words(vectors, asked, 10)
+
+
 @BOOK.add("embed_tokens", "V09", f"""with {ROWS}, v as (select token, row_number() over (order by count(*) desc, token) as id from rows_ group by 1),
   e as (select doc_id, j, ((id * (j + 3)) % 17) / 17.0::double as x from rows_ join v using (token), unnest(range(4)) as u(j) where id % 3 <> 0)
   select doc_id, j::int as dim, round(avg(x), 6) as "value" from e group by 1, 2""")
