@@ -12,11 +12,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Word2Vec
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions.joins import HOT_KEYS, HOT_ROWS, hot_keys, salted_join
-from lumenframe.functions.ordering import cut, laid_out, rank_in_group, ranked, value_steps
+from lumenframe.functions.ordering import cut, laid_out, rank_in_group, ranked, running, value_steps
 from lumenframe.operators.skipgram import skipgram
 
 ROUNDS_PER_CUT = 4
@@ -338,40 +338,72 @@ def pdf_ccdf(df: DataFrame, col: str) -> DataFrame:
     return steps.select(col, (F.col("n") / total).alias("pdf"), ((total - F.col("cum_n") + F.col("n")) / total).alias("ccdf"))
 
 
-def power_law_candidates(df: DataFrame, col: str, limit: int = 1_000_000) -> DataFrame:
-    """For each possible lower end: exponent by maximum likelihood and distance to the fitted distribution.
+CANDIDATES = 1_024            # values in a block of power_law_candidates
 
-    The distinct values with their counts (at most `limit`, checked) go to every task; a task handles its own
-    candidates with numpy, so candidates and values are never paired in a table.
-    """
+
+def _tails(df: DataFrame, col: str) -> DataFrame:
+    """(_ix, x, tail, alpha) of every distinct positive value: rows from it on, and the exponent if it is the lower end."""
     counts = df.where(F.col(col) > 0).groupBy(F.col(col).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values")
-    order = sorted((r["x"], r["n"]) for r in rows)
-    xs, ns = np.array([x for x, _ in order]), np.array([n for _, n in order], dtype=float)
-    spark = df.sparkSession
-    schema = "xmin double, alpha double, distance double, n_tail long"
-    if len(xs) < 2:
-        return spark.createDataFrame([], schema)
-
-    def fit(batches):
+    sums = running(counts.withColumn("logs", F.col("n") * F.ln("x")), [], ["-x"], {"tail": ("sum", "n"), "above": ("sum", "logs")})
+    alpha = 1 + F.try_divide(F.col("tail"), F.col("above") - F.col("tail") * F.ln("x"))
+    return cut(ranked(sums.select("x", "tail", alpha.alias("alpha")), ["x"], "_ix").select((F.col("_ix") - 1).alias("_ix"), "x", "tail", "alpha"))
+
+
+def _packed_values(rows: DataFrame, number: Column) -> DataFrame:
+    """(block, x, tail, alpha): up to CANDIDATES values a row, in ascending order."""
+    one = F.struct("x", "tail", "alpha")
+    packs = rows.groupBy(F.floor(number / CANDIDATES).alias("block")).agg(F.array_sort(F.collect_list(one)).alias("l"))
+    part = lambda c: F.transform("l", lambda e: e[c]).alias(c)
+    return packs.select("block", part("x"), part("tail"), part("alpha"))
+
+
+def _distances(candidates: DataFrame, values: DataFrame, last: int) -> DataFrame:
+    """The largest gap between fitted and counted shares at the given values, for every candidate; a task sees two blocks."""
+    pairs = candidates.select(F.col("block").alias("_c"), *[F.col(c).alias(f"_{c}") for c in ("x", "tail", "alpha")],
+                              F.explode(F.sequence(F.col("first"), F.lit(last))).alias("block")).join(values.drop("alpha"), "block")
+
+    def gaps(batches):
         for b in batches:
-            out = []
-            for i in b["id"]:
-                x, n = xs[i:], ns[i:]
-                tail = n.sum()
-                alpha = 1 + tail / (n * np.log(x / x[0])).sum()
-                below = (np.cumsum(n) - n) / tail
-                out.append((x[0], alpha, np.abs(1 - (x / x[0]) ** (1 - alpha) - below).max(), int(tail)))
-            yield pd.DataFrame(out, columns=["xmin", "alpha", "distance", "n_tail"])
-    return spark.range(len(xs) - 1).mapInPandas(fit, schema)
+            for xs, tails, alphas, x, tail in zip(b["_x"], b["_tail"], b["_alpha"], b["x"], b["tail"], strict=True):
+                low, n, a = (np.asarray(v, float)[:, None] for v in (xs, tails, alphas))
+                x, tail = np.asarray(x, float)[None, :], np.asarray(tail, float)[None, :]
+                gap = np.where(x >= low, np.abs(1 - (np.maximum(x, low) / low) ** (1 - a) - (n - tail) / n), 0.0)
+                yield pd.DataFrame({"xmin": low[:, 0], "alpha": a[:, 0], "distance": gap.max(axis=1), "n_tail": n[:, 0].astype(np.int64)})
+    found = pairs.mapInPandas(gaps, "xmin double, alpha double, distance double, n_tail long")
+    return found.groupBy("xmin").agg(F.any_value("alpha").alias("alpha"), F.max("distance").alias("distance"), F.any_value("n_tail").alias("n_tail"))
+
+
+def power_law_candidates(df: DataFrame, col: str) -> DataFrame:
+    """For each possible lower end: exponent by maximum likelihood and distance to the fitted distribution.
+
+    Values and candidates are compared block by block; nothing but the number of blocks reaches the driver.
+    """
+    rows = _tails(df, col)
+    top = rows.agg(F.max("_ix")).first()[0] or 0
+    able = _packed_values(rows.where(F.col("_ix") < top), F.col("_ix"))                 # the largest value has no tail
+    return _distances(able.withColumn("first", F.col("block")), _packed_values(rows, F.col("_ix")), top // CANDIDATES)
 
 
 def power_law_fit(df: DataFrame, col: str) -> DataFrame:
-    """The candidate with the smallest distance."""
-    found = power_law_candidates(df, col).withColumn("_d", F.round("distance", 9))
-    return found.orderBy("_d", "xmin").limit(1).drop("_d")
+    """The candidate with the smallest distance, the smallest value among equals (to nine digits).
+
+    The distance at some of the values (every CANDIDATES-th one and the largest) is a lower bound. The candidate with the
+    least bound is measured in full, and only candidates whose bound is not above its distance are measured at all.
+    """
+    rows = _tails(df, col)
+    top = rows.agg(F.max("_ix")).first()[0] or 0
+    last, able = top // CANDIDATES, rows.where(F.col("_ix") < top)
+    some = rows.where((F.col("_ix") % CANDIDATES == 0) | (F.col("_ix") == top))
+    coarse = _packed_values(some, F.floor(F.col("_ix") / CANDIDATES))
+    blocks = cut(_packed_values(rows, F.col("_ix")))
+    low = _distances(_packed_values(able, F.col("_ix")).withColumn("first", F.floor(F.col("block") / CANDIDATES)), coarse, last // CANDIDATES)
+    low = cut(low.select(F.col("xmin").alias("x"), F.col("distance").alias("bound")))
+    narrow = lambda which: _packed_values(able.join(which.select("x"), "x"), F.col("_ix")).withColumn("first", F.col("block"))
+    best = _distances(narrow(low.orderBy("bound", "x").limit(1)), blocks, last).first()
+    if best is None:
+        return low.select(F.col("x").alias("xmin"), F.lit(0.0).alias("alpha"), F.lit(0.0).alias("distance"), F.lit(0).cast("long").alias("n_tail"))
+    full = _distances(narrow(low.where(F.col("bound") <= best["distance"] + 1e-9)), blocks, last)
+    return full.withColumn("_d", F.round("distance", 9)).orderBy("_d", "xmin").limit(1).drop("_d")
 
 
 def random_walks(g: Graph, length: int = 30, walks: int = 200, p: float = 1.0, q: float = 1.0, seed: int = 0) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.functions.ordering import cut
 from lumenframe.operators.aggregate import vector_entries
 from lumenframe.operators.svd import svd_model
 
@@ -101,29 +102,46 @@ def pca(df: DataFrame, vec: str, k: int) -> PcaModel:
     return PcaModel(mean, components, np.asarray(fitted.explainedVariance.toArray()) * total, total)
 
 
-def pca_wide(df: DataFrame, key: str, vec: str, k: int, limit: int = 2_000) -> PcaModel:
-    """The same model for few rows with very many coordinates, from the row-by-row Gram matrix X X^T.
+class WidePca:
+    """A PCA of few rows with very many coordinates: the components stay a table (dim, mean, loadings)."""
 
-    Coordinates are the distributed side: each becomes one row of n values, n being checked against `limit`.
+    def __init__(self, variances: np.ndarray, total: float, loadings: DataFrame) -> None:
+        self.variances, self.total, self.loadings = variances, total, loadings
+
+    def table(self, spark) -> DataFrame:
+        return PcaModel(None, None, self.variances, self.total).table(spark)
+
+    def scores(self, df: DataFrame, key: str, vec: str) -> DataFrame:
+        """(key, scores) of rows by the components."""
+        joined = vector_entries(df, vec, key).join(self.loadings, "dim")
+        parts = joined.select(key, F.posexplode(F.transform("loadings", lambda c: c * (F.col("value") - F.col("mean")))).alias("_j", "_v"))
+        sums = parts.groupBy(key, "_j").agg(F.sum("_v").alias("_v"))
+        return sums.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_j", "_v"))), lambda e: e["_v"]).alias("scores"))
+
+
+def pca_wide(df: DataFrame, key: str, vec: str, k: int, limit: int = 2_000) -> WidePca:
+    """Principal components of few rows with very many coordinates, from the row-by-row Gram matrix X X^T.
+
+    Coordinates are the distributed side: each becomes one row of n values, n being checked against `limit`. The driver
+    sees the n x n matrix and the largest loading of each component, whose sign is made positive.
     """
     n = df.limit(limit + 1).count()
     if n > limit:
         raise ValueError(f"pca_wide takes at most {limit} rows; use pca")
-    order = sorted(r[0] for r in df.select(key).collect())
     entries = vector_entries(df, vec, key)
     packed = entries.groupBy("dim").agg(F.avg("value").alias("m"),
                                         F.array_sort(F.collect_list(F.struct(key, "value"))).alias("_r"))
-    columns = packed.select("dim", "m", F.transform("_r", lambda r: r["value"] - F.col("m")).alias("x"))
+    columns = cut(packed.select("dim", "m", F.transform("_r", lambda r: r["value"] - F.col("m")).alias("x")))
     gram = np.asarray(_rows(columns, "x").computeGramianMatrix().toArray()) / n
     values, vectors = np.linalg.eigh(gram)
     best = np.argsort(values)[::-1][:k]
     weights = vectors[:, best] / np.sqrt(np.maximum(values[best], 1e-300) * n)
     # component j = sum over rows of weight * centred row: one narrow projection per coordinate
-    loaded = columns.select("dim", "m", *[dot(F.col("x"), literal_vector(weights[:, j])).alias(f"c{j}") for j in range(len(best))])
-    rows = sorted(loaded.collect(), key=lambda r: r["dim"])
-    components = fixed_sign(np.array([[r[f"c{j}"] for r in rows] for j in range(len(best))]))
-    assert len(order) == n
-    return PcaModel(np.array([r["m"] for r in rows]), components, values[best], float(values.clip(min=0).sum()))
+    loaded = columns.select("dim", F.col("m").alias("mean"), F.array(*[dot(F.col("x"), literal_vector(weights[:, j])) for j in range(len(best))]).alias("loadings"))
+    tops = loaded.select(*[F.max_by(F.get("loadings", F.lit(j)), F.struct(F.abs(F.get("loadings", F.lit(j))), -F.col("dim"))).alias(f"t{j}") for j in range(len(best))]).first()
+    signs = literal_vector([-1.0 if t is not None and t < 0 else 1.0 for t in tops])
+    turned = loaded.withColumn("loadings", F.zip_with("loadings", signs, lambda c, s: c * s))
+    return WidePca(values[best], float(values.clip(min=0).sum()), turned)
 
 
 def pca_error_curve(df: DataFrame, vec: str, ks: list[int], limit: float | None = None) -> tuple[DataFrame, int | None]:

@@ -1,3 +1,4 @@
+import numpy as np
 import itertools
 import math
 
@@ -145,6 +146,33 @@ def test_power_law_prefers_true_exponent(spark):
     assert abs(r["alpha"] - 2.5) < 0.1
 
 
+def brute_power_law(xs):
+    values, counts = np.unique(np.array(xs, float), return_counts=True)
+    out = []
+    for i in range(len(values) - 1):
+        x, n = values[i:], counts[i:]
+        alpha = 1 + n.sum() / (n * np.log(x / x[0])).sum()
+        out.append((x[0], alpha, np.abs(1 - (x / x[0]) ** (1 - alpha) - (np.cumsum(n) - n) / n.sum()).max(), int(n.sum())))
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 7, 1024])
+def test_power_law_by_blocks_equals_all_values_at_once(spark, monkeypatch, block):
+    monkeypatch.setattr(graph, "CANDIDATES", block)
+    rng = np.random.default_rng(block)
+    xs = np.concatenate([np.floor(rng.pareto(1.4, 150) * 3) + 1, rng.integers(1, 9, 60)]).tolist()
+    table = spark.createDataFrame([(x,) for x in [*xs, None, 0.0, -3.0]], "x double").repartition(4)
+    want = brute_power_law(xs)
+    got = sorted(tuple(r) for r in graph.power_law_candidates(table, "x").collect())
+    assert np.allclose(got, want)
+    assert np.allclose(tuple(graph.power_law_fit(table, "x").first()), min(want, key=lambda r: (round(r[2], 9), r[0])))
+
+
+def test_power_law_without_a_tail(spark):
+    for rows in ([], [(2.0,)], [(2.0,), (2.0,)], [(None,), (-1.0,)]):
+        assert graph.power_law_fit(spark.createDataFrame(rows, "x double"), "x").count() == 0
+
+
 def test_scoring(spark):
     edges = spark.createDataFrame([(i, float(i + 1)) for i in range(4)], "edge long, cost double")
     chosen = spark.createDataFrame([(1, e) for e in range(4)] + [(2, 0)], "candidate long, edge long")

@@ -86,7 +86,11 @@ def test_wide_pca_equals_pca(spark):
     x = rng.normal(size=(8, 30))
     df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>")
     a, b = linear.pca(df, "v", 3), linear.pca_wide(df, "id", "v", 3)
-    assert np.allclose(a.variances, b.variances) and np.allclose(a.components, b.components) and abs(a.total - b.total) < 1e-9
+    rows = b.loadings.orderBy("dim").collect()
+    loadings = np.array([r["loadings"] for r in rows]).T
+    assert np.allclose(a.variances, b.variances) and np.allclose(a.components, loadings) and abs(a.total - b.total) < 1e-9
+    scores = {r["id"]: r["scores"] for r in b.scores(df, "id", "v").collect()}
+    assert np.allclose([scores[i] for i in range(8)], (x - x.mean(axis=0)) @ a.components.T)
 
 
 def test_affine_moments_match_moved_rows(spark, cloud):
