@@ -12,6 +12,8 @@ from lumenframe.functions.numbers import r6
 from lumenframe.functions.ordering import cut
 from lumenframe.operators import models
 from lumenframe.operators.aggregate import class_mean_vectors
+from lumenframe.operators.sparselogit import sparse_logistic
+from lumenframe.operators.textvec import tfidf
 from lumenframe.plans.book import Book, table
 
 BOOK = Book()
@@ -72,6 +74,21 @@ def _(s, d):
     return model.transform(rows).select("doc_id", "quality", r6(vector_to_array("probability")[1], 3).alias("score"))
 
 
+def sparse_fit(s, d):
+    """(labelled rows, probabilities) of the model with its weights in a table, at inverse penalty 10."""
+    rows = cut(labelled(s, d).select(F.col("doc_id").alias("key"), F.col("quality").alias("label"), "text"))
+    entries = cut(tfidf(rows, "key", W.word_tokens("text", W.WORD2)).select("key", F.col("token").alias("term"), F.col("weight").alias("value")))
+    return rows, sparse_logistic(entries, rows, 10.0).predict(entries, rows)
+
+
+@BOOK.add("sparse_logistic_total", "M05", """select count(*) as n, sum(quality)::double as positives, sum(quality)::double as expected
+  from labels join documents using (doc_id)""")
+def _(s, d):
+    """At the optimum with a free intercept the probabilities add up to the positives, at a weak penalty too."""
+    rows, scored = sparse_fit(s, d)
+    return rows.join(scored, "key").agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("double").alias("positives"), r6(F.sum("probability"), 0).alias("expected"))
+
+
 @BOOK.add("odds_ratios", "M06")
 def _(s, d):
     scaled = text_features(s, d).select("quality", (F.col("n_chars") / 1000).alias("n_chars"), (F.col("n_digits") / 10).alias("n_digits"))
