@@ -13,7 +13,7 @@ EMOTICON = r"[:;=]-?[)(DP]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 WORD = r"[\p{L}\p{N}_]+"
 WORD2 = r"[\p{L}\p{N}_]{2,}"
-LINK = r"[A-Za-z0-9_]+://[^\s]+"
+LINK = r"[\p{L}\p{N}_]+://\S+"
 MENTION = r"@[A-Za-z0-9]+"
 PUNCTUATION = r"!\"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"
 ISSUE_SYMBOLS = [",", "'", ".", "(", ")", "{", "}", ":", "e.g", ";", "@", "{}", "()", "(^a-z)(0-9$)"]

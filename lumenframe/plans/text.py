@@ -87,7 +87,7 @@ def _(s, d):
 
 
 @BOOK.add("clean_tweet", "T07", r"""select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace("text" ||
-  case when doc_id % 3 = 0 then ' see http://a.example/x?y=1 by @Some_one!' else '' end, '[A-Za-z0-9_]+://[^\s]+', ' ', 'g'),
+  case when doc_id % 3 = 0 then ' see http://a.example/x?y=1 by @Some_one!' else '' end, '[\p{L}\p{N}_]+://\S+', ' ', 'g'),
   '@[A-Za-z0-9]+', ' ', 'g'), '[^0-9A-Za-z \t]', ' ', 'g'), '[ \t]+', ' ', 'g'), ' ') as tweet from documents""")
 def _(s, d):
     tail = F.when(F.col("doc_id") % 3 == 0, " see http://a.example/x?y=1 by @Some_one!").otherwise("")
