@@ -5,13 +5,17 @@ bounded size. In a cell each vector is rounded to int8 with a scale of its own;
 all distances of the tile up to the two rounding errors, which are known exactly, so each distance has a lower and an
 upper bound. Pairs whose lower bound is not above the k-th best upper bound survive, are recomputed from the original
 vectors in double precision, and go into one heap per query. The k best of each cell are ranked over all cells.
+Bounds are taken in units of a power of two that fits the rows compared, so that squares neither overflow nor vanish;
+rows of very unlike size are compared apart, so that one huge vector does not blunt the bounds of the others.
 
 The bounds never cut a true neighbour, so the result is exact for any data; poor rounding only lets more pairs survive.
 Candidates move once per panel and queries once per strip.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows
 without id; of rows with one id the least vector counts. Only vectors of the same length are compared. Ties go to the
-smaller id. With fewer than k candidates all are returned; empty tables give an empty result.
+smaller id; a distance beyond the largest double is infinite, and such candidates are returned like any other ties. With
+fewer than k candidates all are returned; empty tables give an empty result. Wide vectors go in blocks of fewer rows
+(`BLOCK_BYTES`). Extra columns are ignored.
 """
 from __future__ import annotations
 
@@ -28,7 +32,11 @@ from lumenframe.llm.common import landed
 ROWS = 2_048
 STRIP_BLOCKS = 16
 PANEL_BLOCKS = 4
-EXACT_PAIRS = 1 << 16
+BLOCK_BYTES = 4 << 20
+EXACT_NUMBERS = 1 << 22
+SPAN = 256                         # powers of two between the largest components of rows that share their units
+UNSEEN = 2.0 ** -480               # lengths, in these units, that squares below the smallest double may hide
+FARTHEST = 2.0 ** 512 * (1 - 1e-6)  # from here on a square may be infinite
 INNER = 1_024                      # 127 * 127 * 1024 < 2^24: a float product of int8 numbers is exact so far
 
 
@@ -38,7 +46,7 @@ def usable(vector: Column) -> Column:
 
 
 def packed(rows: DataFrame, size: int) -> DataFrame:
-    """(dim, ids, vectors) with up to `size` rows of one width in each block; rows are (id, vector)."""
+    """(dim, ids, vectors) with up to `size` rows and about BLOCK_BYTES of one width in each block; rows are (id, vector)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -55,10 +63,11 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
             for dim in np.unique(widths):
                 at = np.flatnonzero(widths == dim)
                 matrix = flat[starts[at][:, None] + np.arange(dim)[None, :]]
-                for i in range(0, len(at), size):
+                most = max(1, min(size, BLOCK_BYTES // (8 * int(dim))))
+                for i in range(0, len(at), most):
                     parts = held.setdefault(int(dim), [])
-                    parts.append((ids[at[i:i + size]], matrix[i:i + size]))
-                    if sum(len(p[0]) for p in parts) >= size:
+                    parts.append((ids[at[i:i + most]], matrix[i:i + most]))
+                    if sum(len(p[0]) for p in parts) >= most:
                         yield block(int(dim), held.pop(int(dim)))
         for dim, parts in held.items():
             yield block(dim, parts)
@@ -66,9 +75,18 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(pack, "dim int, ids binary, vectors binary")
 
 
-def _quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """int8 rows, their scale, squared length after rounding, and the length of the rounding error."""
+def _by_size(x: np.ndarray) -> list[tuple[int, np.ndarray | slice]]:
+    """Rows by the exponent of their largest component in steps of SPAN: (step, rows); nearly always one step."""
+    step = np.frexp(np.abs(x).max(axis=1))[1] // SPAN
+    found = np.unique(step).tolist()
+    return [(found[0], slice(None))] if len(found) == 1 else [(v, np.flatnonzero(step == v)) for v in found]
+
+
+def _quantised(x: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In units of 2 ** units: int8 rows, their scale, squared length after rounding, and the length of the rounding error."""
+    x = np.ldexp(x, -units)
     scale = np.abs(x).max(axis=1) / 127.0
+    scale[scale < 2.0 ** -960] = 1.0                 # rounds to zero: far below UNSEEN
     small = np.rint(x / scale[:, None]).astype(np.int8)
     back = small * scale[:, None]
     return small, scale, (back * back).sum(axis=1), np.sqrt(((x - back) ** 2).sum(axis=1))
@@ -82,33 +100,54 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def exact_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, added up in the order of the components."""
-    d = (a - b).T
-    return np.sqrt((d * d).sum(axis=0)) if len(a) else np.zeros(0)
+    """Row by row, added up in the order of the components; beyond the largest double it is infinite."""
+    with np.errstate(over="ignore", under="ignore"):
+        d = (a - b).T
+        return np.sqrt((d * d).sum(axis=0)) if len(a) else np.zeros(0)
+
+
+def _survivors(q_ids: np.ndarray, q: tuple, ids: np.ndarray, x: tuple, units: int, kth: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the (query, candidate) pairs that may be among the k nearest, from quantised rows in the same units."""
+    (qs, q_scale, q_norm, q_err), (xs, x_scale, x_norm, x_err) = q, x
+    square = q_norm[:, None] + x_norm[None, :] - 2.0 * q_scale[:, None] * x_scale[None, :] * _product(qs, xs)
+    about = np.sqrt(np.maximum(square, 0.0))
+    with np.errstate(over="ignore", under="ignore"):
+        # squares of the original numbers vanish below 2 ** -537 and are infinite beyond FARTHEST
+        lost = UNSEEN + np.ldexp(np.sqrt(qs.shape[1]) * 2.0 ** -537, -units)
+        kth, farthest = np.ldexp(kth, -units), np.ldexp(FARTHEST, -units)
+    slack = q_err[:, None] + x_err[None, :] + 1e-6 * (np.sqrt(q_norm)[:, None] + np.sqrt(x_norm)[None, :]) + lost
+    own = q_ids[:, None] == ids[None, :]
+    upper = np.where(own, np.inf, about + slack)
+    limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(q_ids), np.inf)
+    limit = np.where(limit >= farthest, np.inf, limit)
+    return np.nonzero((about - slack <= np.minimum(limit, kth)[:, None]) & ~own)
 
 
 def search_cell(q_ids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
     """The k nearest (distance, id) of every query among the candidates of some blocks."""
     heaps: list[list[tuple[float, int]]] = [[] for _ in q_ids]
-    qs, q_scale, q_norm, q_err = _quantised(q)
+    q_parts, q_small = _by_size(q), {}
+    pairs = max(1, EXACT_NUMBERS // q.shape[1])
     for ids, x in blocks:
-        xs, x_scale, x_norm, x_err = _quantised(x)
-        square = q_norm[:, None] + x_norm[None, :] - 2.0 * q_scale[:, None] * x_scale[None, :] * _product(qs, xs)
-        about = np.sqrt(np.maximum(square, 0.0))
-        slack = q_err[:, None] + x_err[None, :] + 1e-7 * (np.sqrt(q_norm)[:, None] + np.sqrt(x_norm)[None, :])
-        own = q_ids[:, None] == ids[None, :]
-        upper = np.where(own, np.inf, about + slack)
-        limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(q), np.inf)
-        kth = np.array([-h[0][0] if len(h) == k else np.inf for h in heaps])
-        qi, xi = np.nonzero((about - slack <= np.minimum(limit, kth)[:, None]) & ~own)
-        for at in range(0, len(qi), EXACT_PAIRS):
-            a, b = qi[at:at + EXACT_PAIRS], xi[at:at + EXACT_PAIRS]
-            for i, d, v in zip(a.tolist(), exact_distance(q[a], x[b]).tolist(), ids[b].tolist(), strict=True):
-                h = heaps[i]
-                if len(h) < k:
-                    heapq.heappush(h, (-d, -v))
-                elif (-d, -v) > h[0]:
-                    heapq.heapreplace(h, (-d, -v))
+        for x_step, x_at in _by_size(x):
+            part_ids, part, x_small = ids[x_at], x[x_at], {}
+            for q_step, q_at in q_parts:
+                units = (max(q_step, x_step) + 1) * SPAN
+                if (q_step, units) not in q_small:
+                    q_small[q_step, units] = _quantised(q[q_at], units)
+                if units not in x_small:
+                    x_small[units] = _quantised(part, units)
+                numbers = np.arange(len(q))[q_at]
+                kth = np.array([-heaps[i][0][0] if len(heaps[i]) == k else np.inf for i in numbers.tolist()])
+                qi, xi = _survivors(q_ids[q_at], q_small[q_step, units], part_ids, x_small[units], units, kth, k)
+                for at in range(0, len(qi), pairs):
+                    a, b = numbers[qi[at:at + pairs]], xi[at:at + pairs]
+                    for i, d, v in zip(a.tolist(), exact_distance(q[a], part[b]).tolist(), part_ids[b].tolist(), strict=True):
+                        h = heaps[i]
+                        if len(h) < k:
+                            heapq.heappush(h, (-d, -v))
+                        elif (-d, -v) > h[0]:
+                            heapq.heapreplace(h, (-d, -v))
     return [sorted((-d, -v) for d, v in h) for h in heaps]
 
 
