@@ -8,24 +8,27 @@ Method: every distinct value found is a protected entity. Over the whole corpus
 term and an entity occur together, n(t, e), and in how many documents the term occurs at all, n(t).
 Knowing t leaves -log2 p(e|t) bits of e unknown, with p(e|t) = n(t, e) / n(t), and gains log2(p(e|t) / p(e)) bits. A
 term discloses e if at most `LEFT_BITS` stay unknown, something and at least the share `GAIN_SHARE` of -log2 p(e) is
-gained, and `SUPPORT` documents say so; nothing can be gained of an entity that all documents name.
+gained, and `SUPPORT` different texts say so; nothing can be gained of an entity that all documents name. Texts that
+differ in white space only are copies: they count in n, but one text and its copies are no evidence.
 Such terms are marked, in whole texts, wherever the document names an entity that they disclose; in `sanitised` a term
 with digits is generalised to their number and any other term is removed. Documents without personal data stay as
 they are.
 
 Words are those of the whole text, at any distance from the entity, each once per document. Pairs are counted for the
-entities that `SUPPORT` documents name; words of all documents are matched against the terms of such pairs only. Pairs
-are combined before each shuffle.
+entities that `SUPPORT` different texts name, in one copy of each text, and once for all entities that the same texts
+name: a list of thousands of addresses that several documents hold is one class, not thousands of pairs per word. Words
+of all documents are matched against the terms of such pairs only. Pairs are combined before each shuffle.
 
 Defined results: null and empty texts have no spans. Repeated rows each get their own result and count as documents of
-their own. A null doc_id stays null. An empty table gives an empty result. Offsets are code points, ends exclusive.
+their own, but as one text. A null doc_id stays null. An empty table gives an empty result. Very long texts are read
+whole. Extra columns are ignored. Offsets are code points, ends exclusive.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import landed
+from lumenframe.llm.common import ASCII_SPACE, landed
 
 KINDS = ("email", "ip", "card", "phone")
 #: The four patterns in linear form, in the order of KINDS.
@@ -43,6 +46,7 @@ SUPPORT = 2
 LEFT_BITS = 1.0
 GAIN_SHARE = 0.5
 BROADCAST_TERMS = 200_000
+PIECE = 1_024
 
 
 def _digits(hit: Column) -> Column:
@@ -72,11 +76,13 @@ def _by_kind(kind: Column, make) -> Column:
 
 
 def rows_with_hits(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(uid, doc_id, text where a pattern may match) of all documents, and all candidates with the length of the gap before."""
+    """(uid, doc_id, text and text_key where a pattern may match) of all documents, and all candidates with the length of the
+    gap before. Copies have one text_key."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     kinds = F.filter(F.array(*[F.when(F.col("text").rlike(h), F.lit(i)) for i, h in enumerate(HINTS)]), lambda x: x.isNotNull())
     rows = (docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("kinds", kinds)
-            .select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.when(F.size("kinds") > 0, F.col("text")).alias("text"), "kinds"))
+            .select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.when(F.size("kinds") > 0, F.col("text")).alias("text"),
+                    F.when(F.size("kinds") > 0, F.sha2(F.regexp_replace("text", ASCII_SPACE, " ").cast("binary"), 256)).alias("text_key"), "kinds"))
     rows = landed(rows, "private-rows")
     kind = F.col("kind")
     wide = (rows.where(F.size("kinds") > 0).select("uid", "text", F.explode("kinds").alias("kind"))
@@ -107,40 +113,59 @@ def mentions(spans: DataFrame) -> DataFrame:
     return spans.select("uid", _entity(F.col("kind"), F.col("hit")).alias("entity")).distinct()
 
 
-def pairs(rows: DataFrame, named: DataFrame, entities: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(entity, term, n_both): in how many documents a word of the text and an entity occur together, from `support` on.
+def classes(named: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(entity, class, n_entity) of the entities that `support` texts name; class is the least entity named by the same texts
+    in as many copies, found by two 64-bit sums over texts and copies. `named` is (entity, text_key, copies)."""
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "text_key", "copies"))
+    able = (named.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count(F.lit(1)).alias("n_texts"), mark(1).alias("one"), mark(2).alias("two"))
+            .where(F.col("n_texts") >= support))
+    alike = ["n_entity", "n_texts", "one", "two"]
+    return able.join(able.groupBy(*alike).agg(F.min("entity").alias("class")), alike).select("entity", "class", "n_entity")
 
-    Entities of fewer documents cannot get there and go first. The entities of a document are one row, so a frequent
-    entity is no key of a join with texts; equal pairs are counted in the tasks before they are sent.
+
+def pairs(rows: DataFrame, named: DataFrame, heads: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(class, term, n_both): in how many documents a word of the text and an entity occur together, where `support` different
+    texts say so. `heads` are the entities that stand for their class.
+
+    The entities of a text are one row, so a frequent entity is no key of a join with texts; equal pairs are counted in
+    the tasks before they are sent.
     """
-    able = named.join(entities.where(F.col("n_entity") >= support).select("entity"), "entity")
-    listed = able.groupBy("uid").agg(F.collect_list("entity").alias("entities"))
-    words = (rows.where(F.col("text").isNotNull()).join(listed, "uid")
-             .select("entities", F.explode(F.array_distinct(_words(F.col("text")))).alias("term")))
-    together = words.select(F.explode("entities").alias("entity"), "term")
-    return together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
+    listed = (named.join(heads, "entity").groupBy("text_key")
+              .agg(F.collect_list(F.struct(F.col("entity").alias("class"), "copies")).alias("classes")))
+    texts = rows.where(F.col("text").isNotNull())
+    one = texts.groupBy("text_key").agg(F.min("uid").alias("uid")).join(listed, "text_key").select("uid", "classes")
+    words = texts.join(one, "uid").select("classes", F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+    together = words.select(F.explode("classes").alias("c"), "term").select("c.*", "term")
+    counted = together.groupBy("class", "term").agg(F.sum("copies").alias("n_both"), F.count(F.lit(1)).alias("n_texts"))
+    return counted.where(F.col("n_texts") >= support).drop("n_texts")
 
 
 def disclosing(docs: DataFrame, rows: DataFrame, spans: DataFrame, n_docs: int, text_col: str = "text", support: int = SUPPORT,
-               left_bits: float = LEFT_BITS, gain_share: float = GAIN_SHARE) -> DataFrame:
-    """(entity, term, n_both, n_term, n_entity, left_bits, gain_bits) of the terms that give an entity away."""
-    named = landed(mentions(spans), "private-mentions")
-    entities = landed(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "private-entities")
-    both = landed(pairs(rows, named, entities, support), "private-pairs")
+               left_bits: float = LEFT_BITS, gain_share: float = GAIN_SHARE) -> tuple[DataFrame, DataFrame]:
+    """(class, term, n_both, n_term, n_entity, left_bits, gain_bits) of the terms that give a class of entities away, and
+    (entity, class, n_entity)."""
+    named = landed(mentions(spans).join(rows.select("uid", "text_key"), "uid").groupBy("entity", "text_key")
+                   .agg(F.count(F.lit(1)).alias("copies")), "private-mentions")
+    members = landed(classes(named, support), "private-classes")
+    heads = members.where(F.col("entity") == F.col("class"))
+    both = landed(pairs(rows, named, heads.select("entity"), support), "private-pairs")
     terms = landed(both.select("term").distinct(), "private-terms")
-    known = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms        # size counted; beyond it an ordinary join
     words = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col(text_col), F.lit(""))))).alias("term"))
-    anywhere = words.join(known, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    scored = (both.join(anywhere, "term").join(entities, "entity")
+    count = lambda df: df.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # size counted; beyond it words are added up first, so that a frequent one is no hot key of the join
+    anywhere = count(words.join(F.broadcast(terms), "term")) if terms.count() <= BROADCAST_TERMS else count(words).join(terms, "term")
+    scored = (both.join(anywhere, "term").join(heads.select("class", "n_entity"), "class")
               .withColumn("left_bits", -F.log2(F.col("n_both") / F.col("n_term")))
               .withColumn("gain_bits", F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_term") * F.col("n_entity")))))
     own = F.log2(F.lit(float(n_docs)) / F.col("n_entity"))
-    return scored.where((F.col("left_bits") <= left_bits) & (F.col("gain_bits") > 0) & (F.col("gain_bits") >= own * gain_share))
+    found = scored.where((F.col("left_bits") <= left_bits) & (F.col("gain_bits") > 0) & (F.col("gain_bits") >= own * gain_share))
+    return found, members
 
 
-def term_spans(rows: DataFrame, spans: DataFrame, found: DataFrame) -> DataFrame:
+def term_spans(rows: DataFrame, spans: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
     """(uid, kind, start, end) of the disclosing terms in the documents that name their entity, outside base spans."""
-    wanted = mentions(spans).join(found.select("entity", "term"), "entity").select("uid", "term").distinct()
+    named = mentions(spans).join(members.select("entity", "class"), "entity").select("uid", "class").distinct()
+    wanted = named.join(found.select("class", "term"), "class").select("uid", "term").distinct()
     texts = rows.where(F.col("text").isNotNull()).join(wanted.select("uid").distinct(), "uid").select(
         "uid", F.split("text", TERM, -1).alias("parts"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("words"))
     each = texts.select("uid", F.posexplode(F.transform("words", lambda w, i: F.struct(w.alias("w"), F.length(F.get("parts", i)).alias("gap")))).alias("no", "x"))
@@ -160,14 +185,16 @@ def term_spans(rows: DataFrame, spans: DataFrame, found: DataFrame) -> DataFrame
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
                  left_bits: float = LEFT_BITS, gain_share: float = GAIN_SHARE) -> DataFrame:
-    """One row per document: uid, doc_id, text (null where no pattern can match) and spans, an array of (kind, start, end)
-    sorted by kind (number in KINDS, then terms) and start."""
+    """One row per document: uid, doc_id, text (null where no pattern can match) and spans, an array of (kind, start, end,
+    seen) sorted by kind (number in KINDS, then terms) and start; seen is where the spans that begin before end."""
     rows, hits = rows_with_hits(docs, id_col, text_col)
     spans = landed(base_spans(hits), "private-spans")
-    found = landed(disclosing(docs, rows, spans, rows.count(), text_col, support, left_bits, gain_share), "private-disclosing")
-    every = spans.select("uid", "kind", "start", "end").unionByName(term_spans(rows, spans, found))
-    listed = every.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
-    none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
+    found, members = disclosing(docs, rows, spans, rows.count(), text_col, support, left_bits, gain_share)
+    every = spans.select("uid", "kind", "start", "end").unionByName(term_spans(rows, spans, landed(found, "private-disclosing"), members))
+    before = Window.partitionBy("uid").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    every = every.withColumn("seen", F.coalesce(F.max("end").over(before), F.lit(0).cast("long")))
+    listed = every.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end", "seen"))).alias("spans"))
+    none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,seen:bigint>>")
     return (rows.join(listed, "uid", "left").select("uid", "doc_id", "text", F.coalesce("spans", none).alias("spans")))
 
 
@@ -177,29 +204,38 @@ def span_text(spans: Column) -> Column:
 
 
 def summary(found: DataFrame) -> DataFrame:
-    """The counts and digests of the contract, from the spans."""
+    """The counts and digests of the contract, from the spans; clean_sha256 is that of the sanitised text, null without spans."""
     base = F.filter("spans", lambda s: s["kind"] < len(KINDS))
     of_kind = lambda i: F.filter("spans", lambda s: s["kind"] == i)
     counts = [F.size(of_kind(i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return found.select("doc_id", *counts, F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+    clean = F.when(F.size("spans") > 0, F.sha2(clean_text(F.col("text"), F.col("spans")).cast("binary"), 256))
+    return found.withColumn("clean_sha256", clean).select("doc_id", *counts, F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"), "clean_sha256")
+
+
+def clean_text(text: Column, spans: Column) -> Column:
+    """Each maximal marked stretch becomes its kind in brackets; a term with digits becomes one # per digit, any other term goes.
+
+    Stretches are taken out of pieces of PIECE characters, so the work follows the text and not text times spans.
+    """
+    let = lambda value, body: F.get(F.transform(F.array(value), body), 0)
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    apart = F.filter(spans, lambda s: s["start"] >= s["seen"])
+    ordered = F.sort_array(F.transform(apart, lambda s: F.struct(s["start"], s["end"], s["seen"], s["kind"])))
+
+    def stretch(pieces: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+        near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return F.when(end > start, F.substring(near, (start - first * PIECE + 1).cast("int"), (end - start).cast("int"))).otherwise("")
+
+    def filled(pieces: Column) -> Column:
+        term = lambda s: F.repeat(F.lit("#"), F.length(_digits(stretch(pieces, s["start"], s["end"]))))
+        put = lambda s: F.when(s["kind"] == len(KINDS), term(s)).otherwise(F.get(names, s["kind"]))
+        done = F.array_join(F.transform(ordered, lambda s: F.concat(stretch(pieces, s["seen"], s["start"]), put(s))), "")
+        return F.concat(done, stretch(pieces, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text).cast("long")))
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), filled)
 
 
 def sanitised(found: DataFrame) -> DataFrame:
-    """(uid, clean_text) of the documents with spans: each maximal marked stretch becomes its kind in brackets; a term
-    with digits becomes one # per digit, any other term goes."""
-    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] != b["start"], (a["start"] - b["start"]).cast("int")).otherwise((b["end"] - a["end"]).cast("int")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        piece = F.substring(F.col("text"), s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
-        term = F.when(piece.rlike("[0-9]"), F.repeat(F.lit("#"), F.length(_digits(piece)))).otherwise(F.lit(""))
-        put = F.when(s["kind"] == len(KINDS), term).otherwise(F.concat(F.lit("["), F.upper(F.get(F.array(*map(F.lit, (*KINDS, TERM_KIND))), s["kind"])), F.lit("]")))
-        gap = F.substring(F.col("text"), acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))
-        more = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(gap, put)).alias("out"))
-        inside = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when(s["start"] >= acc["at"], more).otherwise(inside)
-
-    done = F.aggregate(ordered, start, step)
-    rest = F.substring(F.col("text"), F.col("_d.at").cast("int") + 1, F.length("text"))
-    return (found.where(F.size("spans") > 0).withColumn("_d", done)
-            .select("uid", F.concat(F.array_join("_d.out", ""), rest).alias("clean_text")))
+    """(uid, clean_text) of the documents with spans."""
+    return found.where(F.size("spans") > 0).select("uid", clean_text(F.col("text"), F.col("spans")).alias("clean_text"))

@@ -459,7 +459,7 @@ def test_base_spans_equal_the_contract_on_random_text(spark):
 
 
 def test_terms_that_disclose_are_marked_and_clean_documents_left_alone(spark):
-    texts = [(i, f"the agent Zyxomir met us at {'bob@x.org'} in room 77qq for tea") for i in range(3)]
+    texts = [(i, f"the agent Zyxomir met us at {'bob@x.org'} in room 77qq for tea{'!' * i}") for i in range(3)]
     texts += [(10 + i, f"the weather in room {i} was fine for tea") for i in range(60)] + [(90, "write to eve@y.org for tea")]
     found = private.find_private(docs_of(spark, texts))
     by_id = {r.doc_id: [t for s in r.spans if s.kind == 4 for t in [dict(texts)[r.doc_id][s.start:s.end]]] for r in found.collect()}
@@ -482,10 +482,16 @@ def terms_by_hand(texts, least_gain):
     n_term = Counter(w for r in rows for w in {x[2] for x in r[2]})
     n_name = Counter(e for r in rows for e in r[3])
     n_both = Counter((e, w) for r in rows for e in r[3] for w in {x[2] for x in r[2]})
+    plain = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t) for i, t in texts}
+    seen = defaultdict(set)
+    for i, _, words, names in rows:
+        for e in names:
+            for w in words:
+                seen[e, w[2]].add(plain[i])
     found = defaultdict(set)
     for (e, w), n in n_both.items():
         info, left = math.log2(len(rows) / n_name[e]), math.log2(n_term[w] / n)
-        if n >= 2 and left <= 1 and info - left >= least_gain(info) - 1e-12:
+        if len(seen[e, w]) >= 2 and left <= 1 and info - left >= least_gain(info) - 1e-12:
             found[e].add(w)
     return {i: [(a, b) for a, b, w in words if any(w in found[e] for e in names) and all(b <= x or a >= y for x, y in spans)] for i, spans, words, names in rows}
 
@@ -508,12 +514,47 @@ def test_terms_around_a_card_with_digits_and_other_entities(spark):
 def test_terms_far_from_the_entity_count(spark):
     """A name in letter head and signature, near the address in one document of four only."""
     gap = "so it goes on and on " * 100
-    texts = [(0, "Dear Zyxomir bo@b.org " + gap)] + [(i, f"Zyxomir {gap} bo@b.org {gap} Quell9") for i in (1, 2, 3)] + [(10 + i, gap) for i in range(60)]
+    texts = [(0, "Dear Zyxomir bo@b.org " + gap)] + [(i, f"Zyxomir {gap} bo@b.org {gap} Quell9{'!' * i}") for i in (1, 2, 3)] + [(10 + i, gap) for i in range(60)]
     got = marked_terms(private.find_private(docs_of(spark, texts)))
     assert [[dict(texts)[i][a:b] for a, b in got[i]] for i in range(4)] == [["Zyxomir"]] + [["Zyxomir", "Quell9"]] * 3
     assert got == terms_by_hand(texts, lambda info: 0.5 * info)
 
 
+def test_copies_are_no_evidence(spark):
+    """One text in several copies marks nothing; a second text with the same name does, and copies are marked alike."""
+    note = "quarterly  harvest meeting minutes sent by bo@b.org yesterday evening, file 77"
+    rest = [(10 + i, f"plain row {i} of the table") for i in range(200)]
+    copies = [(0, note), (1, note.replace("  ", " \n")), (2, note)]
+    assert not any(marked_terms(private.find_private(docs_of(spark, copies + rest))).values())
+    more = [*copies, (3, "harvest by bo@b.org"), (4, "harvest")]
+    got = marked_terms(private.find_private(docs_of(spark, more + rest)))
+    assert got == terms_by_hand(more + rest, lambda info: 0.5 * info)
+    assert [[dict(more)[i][a:b] for a, b in got[i]] for i in range(5)] == [["harvest", "by"]] * 3 + [["harvest", "by"], []]
+
+
+def test_a_long_list_of_addresses_is_one_class(spark):
+    """Thousands of addresses beside thousands of words in two documents: pairs follow the words, not the product."""
+    names = " ".join(f"n{i}@list.org" for i in range(2_000))
+    words = " ".join(f"word{i}" for i in range(8_000))
+    texts = [(0, f"{names} {words} first"), (1, f"{words} {names} second n7@list.org"), (2, "n7@list.org third")] + [(10 + i, "some other row") for i in range(30)]
+    rows, hits = private.rows_with_hits(docs_of(spark, texts), "doc_id", "text")
+    spans = private.base_spans(hits)
+    found, members = private.disclosing(docs_of(spark, texts), rows, spans, len(texts))
+    assert members.count() == 2_000 and members.select("class").distinct().count() == 2
+    assert found.count() < 2 * 11_000
+    got = {r.doc_id: r for r in private.summary(private.find_private(docs_of(spark, texts))).collect()}
+    assert [got[i].n_email for i in range(3)] == [2_000, 2_001, 1]
+    assert got[0].spans.count("term:") == 8_000 and got[2].spans.count("term:") == 0
+
+
+def test_the_digest_is_that_of_the_sanitised_text(spark):
+    long = "ü🙂" * 1_500 + " bo@b.org " + "x" * 1_100
+    texts = [(0, "bo@b.org or 10.0.0.1"), (1, "nothing"), (2, None), (3, long), (4, "pay 4111 1111 1111 1111, a@10.0.0.1")]
+    got = {r.doc_id: r.clean_sha256 for r in private.summary(private.find_private(docs_of(spark, texts))).collect()}
+    want = {0: "[EMAIL] or [IP]", 3: long.replace("bo@b.org", "[EMAIL]"), 4: "pay [CARD], [EMAIL]"}
+    assert got == {i: sha(want[i].encode()) if i in want else None for i in range(5)}
+
+
 def test_terms_of_an_entity_that_a_third_of_the_documents_carry(spark):
     texts = [(i, f"Zyxomir of shop@x.org sells tea {'Half' * (i % 2)}") for i in range(4)] + [(10 + i, f"some tea {'Half' * (i == 0)} is fine") for i in range(8)]
     for copies in (1, 10):                       # the same documents in a small and a larger table
