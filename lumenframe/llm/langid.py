@@ -2,7 +2,8 @@
 
 A profile is the list of the most frequent letter n-grams (1 to 3 letters, words padded by one blank) of a language.
 A text gets the language whose profile is nearest by out-of-place distance: the sum, over the text's own most frequent
-n-grams, of how far the rank moved, where an n-gram missing from the profile counts as the whole profile length.
+n-grams, of how far the rank moved. An n-gram missing from the profile stands at the rank after its last one, and one
+that no profile holds counts as the whole profile length.
 
 Counting runs per Arrow batch in numpy; what leaves a task is one row per (language, n-gram) it has seen. The model
 is `languages x profile_size` rows: `MAX_LANGUAGES` is the documented bound on what goes to every task.

@@ -293,6 +293,39 @@ def test_language_defined_results_and_held_out_accuracy(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.97
 
 
+def ranked_by_hand(text, size):
+    code = lambda g: sum(0 if c == " " else ord(c) << 20 * k for k, c in enumerate(reversed(g))) | len(g) << 60
+    counts = Counter({code(g): n for g, n in grams_by_hand(text).items()})
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]]
+
+
+def test_profiles_and_distances_equal_brute_force(spark):
+    rng, size = random.Random(8), 30
+    letters = {"aa": "abcde", "bb": "defgh", "cc": "äöabz"}
+    make = lambda of: " ".join("".join(rng.choice(of) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 12)))
+    known = [(i, make(letters[lang]), lang) for i, lang in enumerate(sorted(letters) * 15)]
+    asked = [(100 + i, make(rng.choice([*letters.values(), "abcdefghzqä"]))) for i in range(60)] + [(200, "Q9 q"), (201, "12"), (202, None)]
+    profiles = langid.train_profiles(spark.createDataFrame(known + [(90, None, "aa"), (91, "x", None)], "doc_id long, text string, lang string"), size=size)
+    want = {lang: ranked_by_hand(" ".join(t for _, t, x in known if x == lang), size) for lang in letters}
+    got = defaultdict(dict)
+    for r in profiles.collect():
+        got[r.lang][r["rank"]] = r.gram
+    assert {k: [v[i] for i in range(len(v))] for k, v in got.items()} == want
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs_of(spark, asked), profiles, size=size).collect()}
+    anywhere = {g for grams in want.values() for g in grams}
+
+    def moved(lang, k, g):
+        return abs(k - want[lang].index(g)) if g in want[lang] else size - k if g in anywhere else size
+
+    for i, t in asked:
+        own = ranked_by_hand(t, size)
+        far = [(sum(moved(x, k, g) for k, g in enumerate(own)), x) for x in sorted(letters)]
+        if own:
+            assert found[i][0] == min(far)[1] and math.isclose(found[i][1], 1 - min(far)[0] / (size * len(own)), abs_tol=1e-12), t
+        else:
+            assert found[i] == ("und", 0.0)
+
+
 # ---- 5 quality ---------------------------------------------------------------------------------------------------
 
 
@@ -317,6 +350,36 @@ def test_quality_keeps_the_k_largest_keys_and_handles_odd_rows(spark):
     assert quality.resample(docs.limit(0), labels).count() == 0
 
 
+def test_weights_and_gumbel_keys_equal_brute_force(spark):
+    rng = random.Random(9)
+    texts = [(i, " ".join(rng.choice(["good", "fine", "bad", "junk!", "so", "Ü"]) for _ in range(rng.randint(0, 9)))) for i in range(80)]
+    labels = [(i, rng.randint(0, 1)) for i in range(0, 80, 2)]
+
+    def buckets(text):
+        h = [zlib.crc32(w.encode()) for w in re.findall(r"\w+|[^\w\s]+", text.lower())]
+        mix = [((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % 2 ** 64 >> 20) % quality.BUCKETS for a, b in zip(h, h[1:], strict=False)]
+        return Counter([x % quality.BUCKETS for x in h] + mix)
+
+    known = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 4 != 2]
+    good = {i for i, y in known if y == 1}
+    raw, target = Counter(), Counter()
+    for i, t in texts:
+        raw.update(buckets(t))
+        target.update(buckets(t) if i in good else {})
+    total = lambda c: sum(c.values()) + quality.BUCKETS
+    ratio = lambda b: math.log((target[b] + 1) / total(target)) - math.log((raw[b] + 1) / total(raw))
+    want = {}
+    for i, t in texts:
+        weight = sum(n * ratio(b) for b, n in buckets(t).items())
+        u = (int(hashlib.md5(f"{quality.SEED}:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        want[i] = (weight, weight - math.log(-math.log(u)))
+    k = round(len(good) / len(known) * len(texts))
+    kept = set(sorted(want, key=lambda i: (-want[i][1], i))[:k])
+    got = quality.resample(docs_of(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len(got) == len(texts) and {r.doc_id for r in got if r.kept} == kept
+    assert all(np.allclose((r.log_weight, r.gumbel_key), want[r.doc_id], rtol=1e-9, atol=1e-9) for r in got)
+
+
 def test_quality_grams_cross_pieces():
     text = "a b c d e f g"
     whole = np.concatenate(list(quality.grams(text)))
