@@ -49,3 +49,14 @@ def test_no_row_per_path_is_moved(mesh):
     """The counting plan joins packed pieces only: nothing in it is as long as the edges."""
     plan = cells.closed_pairs(mesh.cells)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and plan.count("Join") == 1
+
+
+def test_walk_steps_move_the_walkers_only(spark, mesh, near):
+    rows = graph.random_walks(mesh, length=11, walks=2)
+    paths = {}
+    for r in rows.collect():
+        paths.setdefault(r["walk"], {})[r["step"]] = r["id"]
+    assert len(paths) == 2 * sum(1 for v in near if near[v])
+    for walk, path in paths.items():
+        assert sorted(path) == list(range(11)) and str(path[0]) == walk.split("-")[0]
+        assert all(path[i + 1] in near[path[i]] for i in range(10))
