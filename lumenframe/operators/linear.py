@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -60,6 +62,25 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
+def _matrix_times(matrix: np.ndarray, before: np.ndarray | float = 0.0, after: np.ndarray | float = 0.0):
+    """matrix (x - before) + after for a column of arrays, a batch at a time; all null for rows that are null, hold a null or have another width.
+
+    As expressions the columns are put into each other: every entry of a result would compute the whole row before it again.
+    """
+    height, width = matrix.shape
+
+    @F.arrow_udf("array<double>")
+    def times(rows: pa.Array) -> pa.Array:
+        length, flat = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False), rows.flatten()
+        owner = np.repeat(np.arange(len(rows)), length)
+        fit = (length == width) & (np.bincount(owner, weights=flat.is_null().to_numpy(zero_copy_only=False), minlength=len(rows)) == 0)
+        found = np.zeros((len(rows), height))
+        found[fit] = (pc.fill_null(flat, 0.0).to_numpy(zero_copy_only=False)[fit[owner]].reshape(-1, width) - before) @ matrix.T + after
+        cells = pa.array(found.ravel(), mask=np.repeat(~fit, height))
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, height), pa.int32()), cells)
+    return times
+
+
 class PcaModel:
     """Mean, unit components (k x width) and explained variances of a fitted PCA; all are small driver arrays."""
 
@@ -67,14 +88,10 @@ class PcaModel:
         self.mean, self.components, self.variances, self.total = mean, components, variances, total
 
     def scores(self, df: DataFrame, vec: str, out: str = "scores") -> DataFrame:
-        centred = F.zip_with(F.transform(vec, lambda v: v.cast("double")), literal_vector(self.mean), lambda x, m: x - m)
-        return (df.withColumn("_c", centred)
-                .withColumn(out, F.transform(literal_matrix(self.components), lambda c: dot(c, F.col("_c")))).drop("_c"))
+        return df.withColumn(out, _matrix_times(self.components, before=self.mean)(F.transform(vec, lambda v: v.cast("double"))))
 
     def reconstruct(self, df: DataFrame, scores: str, out: str = "rebuilt") -> DataFrame:
-        columns = literal_matrix(self.components.T)
-        back = F.transform(columns, lambda c: dot(c, F.col(scores)))
-        return df.withColumn(out, F.zip_with(back, literal_vector(self.mean), lambda x, m: x + m))
+        return df.withColumn(out, _matrix_times(self.components.T, after=self.mean)(F.col(scores)))
 
     def table(self, spark) -> DataFrame:
         share = self.variances / self.total
