@@ -66,3 +66,44 @@ def test_nodes_of_one_part_are_near(spark):
     inside = np.mean([cosine(a, b) for a in range(20) for b in range(20) if a < b and (a < 10) == (b < 10)])
     across = np.mean([cosine(a, b) for a in range(10) for b in range(10, 20)])
     assert inside > across + 0.3
+
+
+def test_samples_that_a_run_shares_give_the_expected_step():
+    """The mean of many small updates is the gradient of the pairs with `negatives` samples each."""
+    rng = np.random.default_rng(3)
+    w, c = rng.standard_normal((5, 6)).astype(np.float32), rng.standard_normal((7, 6)).astype(np.float32)
+    words, others = np.array([0, 0, 0, 3]), np.array([1, 2, 1, 6])
+    weight = np.array([3.0, 1.0, 2.0, 0.5, 1.5, 1.0, 1.0])
+    share, sig = 3 * weight / weight.sum(), lambda v: 1 / (1 + np.exp(-v))
+    dw, dc = np.zeros((5, 6)), np.zeros((7, 6))
+    for a, b in zip(words, others, strict=True):
+        for t in range(7):
+            push = (1 - sig(w[a] @ c[t]) if t == b else 0.0) - (0.0 if t == b else share[t] * sig(w[a] @ c[t]))
+            dw[a] += push * c[t]
+            dc[t] += push * w[a]
+    got_w, got_c = np.zeros((5, 6)), np.zeros((7, 6))
+    for k in range(200):
+        w1, c1 = w.copy(), c.copy()
+        skipgram.train(words, others, w1, c1, weight, 3, 0.01, np.random.default_rng(k))
+        got_w += (w1 - w) / 0.01 / 200
+        got_c += (c1 - c) / 0.01 / 200
+    assert np.allclose(got_w, dw, atol=0.02) and np.allclose(got_c, dc, atol=0.02)
+
+
+def test_pairs_are_written_before_too_many_are_held(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(skipgram, "HELD", 1_000)
+    lists = [list(range(100))] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["_id", "codes"])
+    out = list(skipgram._pairs(3, 1, 1)(iter([batch])))
+    assert len(out) > 10 and all(sum(len(x) for x in b.column(2).to_pylist()) <= 2 * 2_000 for b in out)
+
+
+def test_word2vec_keeps_nothing_on_the_driver(spark):
+    from pyspark.ml.util import JavaMLReadable
+
+    from lumenframe.operators import textvec
+    model = textvec.word2vec(planted(spark, 600), F.col("words"), size=16, window=4, min_count=5, partitions=4, iterations=4)
+    assert not isinstance(model, JavaMLReadable) and isinstance(model.rows, type(spark.range(1)))
+    near = [r.word for r in model.findSynonyms("t3x0", 5).collect()]
+    assert len(near) == 5 and sum(w[-1] == "3" or w.startswith("t3x") for w in near) >= 3
