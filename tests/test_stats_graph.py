@@ -181,3 +181,20 @@ def test_scoring(spark):
     bits = spark.createDataFrame([("0" * 8 + "1" * 8,)], "b string")
     r = scoring.decode_and_score(bits, "b", 16).first()
     assert (r["x"], r["y"]) == (6.0, -6.0) and abs(r["value"] - ((36 - 6 - 11) ** 2 + (6 + 36 - 7) ** 2)) < 1e-9
+
+
+def test_rounds_move_numbers_of_hubs_only(spark):
+    """Two hubs with 200 leaves and a path: a leaf's edge lies with the leaf, so a hub is sent once to a part."""
+    edges = [(h, 10 + i) for h in (0, 1) for i in range(200)] + [(500, 501), (501, 502)]
+    g = graph_of(spark, edges, [900, None])
+    flow = graph._Flow(g.edges, g.vertices, graph.degrees(g))
+    assert flow.routes.count() <= 2 * flow.parts + 4 and flow.down.count() + flow.up.count() == 2 * len(edges)
+    assert all(r["id"] in (0, 1, 500, 501, 502) for r in flow.routes.collect())
+    homes = {r["part"] for r in flow.start.select("part").distinct().collect()}
+    assert flow.start.select("part", F.spark_partition_id()).distinct().count() == len(homes)
+    state = flow.step(flow.start.withColumn("x", F.coalesce(F.col("id"), F.lit(0)).cast("double")), lambda x, heard: 2 * x + heard)
+    want = {i: 2.0 * i for i in [0, 1, 500, 501, 502, 900, *range(10, 210)]}
+    for a, b in edges:
+        want[a] += b
+        want[b] += a
+    assert {r["id"]: r["x"] for r in state.collect()} == {**want, None: 0.0}
