@@ -183,11 +183,13 @@ def test_scoring(spark):
     assert (r["x"], r["y"]) == (6.0, -6.0) and abs(r["value"] - ((36 - 6 - 11) ** 2 + (6 + 36 - 7) ** 2)) < 1e-9
 
 
-def test_rounds_move_numbers_of_hubs_only(spark):
+def test_rounds_move_numbers_of_hubs_only(spark, monkeypatch):
     """Two hubs with 200 leaves and a path: a leaf's edge lies with the leaf, so a hub is sent once to a part."""
     edges = [(h, 10 + i) for h in (0, 1) for i in range(200)] + [(500, 501), (501, 502)]
     g = graph_of(spark, edges, [900, None])
+    monkeypatch.setattr(graph, "FEWEST", 100)
     flow = graph._Flow(g.edges, g.vertices, graph.degrees(g))
+    assert flow.parts == 8
     assert flow.routes.count() <= 2 * flow.parts + 4 and flow.down.count() + flow.up.count() == 2 * len(edges)
     assert all(r["id"] in (0, 1, 500, 501, 502) for r in flow.routes.collect())
     homes = {r["part"] for r in flow.start.select("part").distinct().collect()}
