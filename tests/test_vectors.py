@@ -157,3 +157,42 @@ def test_models_on_easy_data(spark):
     noisy = df.withColumn("q", ((F.col("id") % 3 == 0) | (F.col("a") > 15)).cast("double"))
     ratio = {r["term"]: r["odds_ratio"] for r in models.odds_ratios(noisy, ["a"], "q").collect()}
     assert ratio["a"] > 1
+
+
+def test_block_search_equals_brute_force_and_measures_few_pairs_twice(monkeypatch):
+    rng = np.random.default_rng(3)
+    measured = []
+    exact = neighbours._exact
+    monkeypatch.setattr(neighbours, "_exact", lambda a, b, i, j: measured.append(len(i)) or exact(a, b, i, j))
+    for odd in ("plain", "copies", "ties", "not finite", "tiny", "huge", "few"):
+        a, b = rng.normal(size=(600, 8)), rng.normal(size=(5_000, 8))
+        if odd == "copies":
+            b[1_000:] = a[0]
+        elif odd == "ties":
+            a, b = np.round(a), np.round(b)
+        elif odd == "not finite":
+            a[::5, 0], b[::7, 1], b[2, 0] = np.nan, np.nan, np.inf
+        elif odd in ("tiny", "huge"):
+            a, b = (x * (1e-14 if odd == "tiny" else 1e20) for x in (a, b))
+        elif odd == "few":
+            b = b[:3]
+        same = np.arange(600)[:, None] == np.arange(len(b))[None, :]
+        measured.clear()
+        got = [row for lot in neighbours._best(a, b, 5, lambda own: np.nonzero(same[own])) for row in zip(*lot)]
+        gaps = np.round(np.sqrt(((a[:, None] - b[None]) ** 2).sum(2)), 9)
+        gaps[same] = np.inf
+        order = np.argsort(gaps, axis=1, kind="stable")[:, :5]
+        taken = np.take_along_axis(gaps, order, 1)
+        i, j = np.nonzero(np.isfinite(taken))
+        assert got == list(zip(i, order[i, j], taken[i, j])), odd
+        if odd == "plain":
+            assert sum(measured) < 0.1 * gaps.size
+
+
+def test_pairs_of_many_copies_come_in_bounded_lots(spark):
+    """A block of copies against itself has a pair for every two rows; they leave the task bit by bit."""
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(1_500)], "id long, v array<double>")
+    got = neighbours.similar_pairs(df, "id", "v", 0.9)
+    assert got.count() == 1_500 * 1_499 // 2
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "FlatMapCoGroupsInPandas" not in plan
