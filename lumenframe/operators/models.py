@@ -138,7 +138,8 @@ def importance_by_target(df: DataFrame, features: list[str], targets: list[str],
 
 def grid_search(rows: DataFrame, key: str, label: str, estimator, grid: list, folds: int = 10, parallelism: int = 4) -> CrossValidatorModel:
     """Best parameters by k-fold accuracy over stratified folds; fits run from several driver threads."""
-    dealt = assign_folds(rows, key, label, folds).withColumn("fold", F.col("fold").cast("int"))
+    # read by every fold: written once with the columns that the fits need
+    dealt = cut(assign_folds(rows, key, label, folds).withColumn("fold", F.col("fold").cast("int")))
     judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     return CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, foldCol="fold",
                           parallelism=parallelism).fit(dealt)

@@ -196,3 +196,16 @@ def test_pairs_of_many_copies_come_in_bounded_lots(spark):
     assert got.count() == 1_500 * 1_499 // 2
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInArrow" in plan and "FlatMapCoGroupsInPandas" not in plan
+
+
+def test_grid_search_deals_the_folds_once(spark, monkeypatch):
+    """Every fold reads rows that were written with their fold, and does not rank them again."""
+    from pyspark.ml.tuning import CrossValidator
+
+    from lumenframe.operators import models
+    seen = []
+    monkeypatch.setattr(CrossValidator, "fit", lambda self, df: seen.append(df))
+    models.grid_search(spark.range(40).selectExpr("id", "cast(id % 2 as double) as y"), "id", "y", None, [], folds=4)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    assert sorted(r["count"] for r in seen[0].groupBy("fold").count().collect()) == [10, 10, 10, 10]
