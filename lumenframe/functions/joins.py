@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
 SALTS = 64
+FREQUENT = 50_000             # keys whose rows are matched in place
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> list:
@@ -55,6 +56,34 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", h
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+def counted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", n: str = "n", most: int = FREQUENT) -> DataFrame:
+    """Equality join (left or inner) with a table that has one row per key and the number `n` of rows the key has in `big`.
+
+    The keys with most rows, `most` at the utmost, are sent to every task, so their rows stay where they are; only rows of
+    the many rare keys are shuffled, and none of these has more than a `most`-th of all rows. `big` is read twice, `n` left out.
+    """
+    steps = small.where(F.col(n).isNotNull()).groupBy(n).agg(F.count(F.lit(1)).alias("_k"))
+    listed = steps.orderBy(F.desc(n)).limit(most).collect()         # a key each at least
+    held, least = 0, None
+    for r in listed:
+        if held + r["_k"] > most:
+            break
+        held, least = held + r["_k"], r[n]
+    if least is None:
+        return salted_join(big, small.drop(n), key, how)
+    head = small.where(F.col(n) >= least).drop(n)
+    if held == sum(r["_k"] for r in listed) and len(listed) < most:
+        rest = small.where(F.col(n).isNull())
+        return big.join(F.broadcast(head), key, how) if rest.isEmpty() else _two(big, head, rest.drop(n), key, how)
+    return _two(big, head, small.where((F.col(n) < least) | F.col(n).isNull()).drop(n), key, how)
+
+
+def _two(big: DataFrame, head: DataFrame, rest: DataFrame, key: str, how: str) -> DataFrame:
+    near = big.join(F.broadcast(head), key, "inner")
+    far = big.join(F.broadcast(head.select(key)), key, "left_anti").join(rest, key, how)
+    return near.unionByName(far)
+
+
 def checked_rows(small: DataFrame, limit: int) -> Column:
     """All rows of a small table as one array value; fails when there are more than `limit` rows."""
     packed = F.collect_list(F.struct(*small.columns))

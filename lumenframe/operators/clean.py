@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from lumenframe.functions.joins import salted_join
+from lumenframe.functions.joins import counted_join
 from lumenframe.functions.ordering import ranked
 
 
@@ -64,16 +64,16 @@ def map_values(df: DataFrame, col: str, mapping: dict, default=None, out: str |
 
 def encode_first_seen(df: DataFrame, col: str, order: str, start: int = 0) -> DataFrame:
     """Code of each value by its first appearance in `order`."""
-    first = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.min(order).alias("_first"))
-    codes = ranked(first, ["_first", col], "code").select(col, (F.col("code") + (start - 1)).alias("code"))
-    return salted_join(df, codes, col)
+    first = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    codes = ranked(first, ["_first", col], "code").select(col, "_n", (F.col("code") + (start - 1)).alias("code"))
+    return counted_join(df, codes, col, n="_n")
 
 
 def encode_sorted(df: DataFrame, col: str, start: int = 0) -> DataFrame:
     """Code of each value by its place in sorted order."""
-    values = df.where(F.col(col).isNotNull()).select(col).distinct()
-    codes = ranked(values, [col], "code").select(col, (F.col("code") + (start - 1)).alias("code"))
-    return salted_join(df, codes, col)
+    values = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    codes = ranked(values, [col], "code").select(col, "_n", (F.col("code") + (start - 1)).alias("code"))
+    return counted_join(df, codes, col, n="_n")
 
 
 def coerce_numeric(df: DataFrame, cols: list[str], drop: bool = True) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions.joins import salted_join
-from lumenframe.functions.ordering import cut, rank_in_group
+from lumenframe.functions.ordering import rank_in_group, stored
 from lumenframe.functions.words import phrase_runs, word_tokens
 from lumenframe.operators.order import top_k_per_group
 from lumenframe.operators.profile import category_shares
+from lumenframe.operators.textvec import looked_up, term_counts
 
 
 def token_rows(df: DataFrame, key: str, tokens) -> DataFrame:
@@ -41,10 +42,9 @@ def phrase_counts(df: DataFrame, text: str, stopwords: Iterable[str]) -> DataFra
 
 def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Mean polarity of the known words of each text and the class it stands for; 0 when no word is known."""
-    # words are counted per text before the lookup; the counts are complete inside one map task
-    words = cut(df.select(key, F.explode(word_tokens(text)).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")))
-    known = salted_join(words, lexicon.select("token", "polarity"), "token", "inner")
-    means = known.groupBy(key).agg((F.sum(F.col("n") * F.col("polarity")) / F.sum("n")).alias("polarity"))
+    # words are counted per text before the lookup
+    known = looked_up(stored(term_counts(df, key, word_tokens(text))), lexicon, F.col("polarity"), "inner")
+    means = known.groupBy(key).agg((F.sum(F.col("tf") * F.col("polarity")) / F.sum("tf")).alias("polarity"))
     scored = df.join(means, key, "left").withColumn("polarity", F.round(F.coalesce("polarity", F.lit(0.0)), 9))
     return scored.withColumn("sentiment", F.when(F.col("polarity") > 0, "positive").when(F.col("polarity") == 0, "neutral")
                              .otherwise("negative"))

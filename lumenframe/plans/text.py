@@ -279,7 +279,7 @@ SCORED = f"""{LEXICON}, m as (select doc_id, avg(polarity) as p from {TOKEN_ROWS
 def lexicon(s, d):
     """A lexicon by rule: every second token of the frequency order, polarity from its rank."""
     vocab = build_vocab(token_counts(docs(s, d), W.word_tokens("text")))
-    return vocab.where("id % 2 = 0").select("token", ((F.col("id") % 5 - 2) / 2.0).alias("polarity"))
+    return vocab.where("id % 2 = 0").select("token", "n", ((F.col("id") % 5 - 2) / 2.0).alias("polarity"))
 
 
 @BOOK.add("lexicon_sentiment", "T24", f"with {SCORED} select doc_id, round(p, 6) as polarity, sentiment from scored")

@@ -114,6 +114,6 @@ def _(s, d):
   select doc_id, j::int as dim, round(avg(x), 6) as "value" from e group by 1, 2""")
 def _(s, d):
     vocab = textvec.build_vocab(textvec.token_counts(docs(s, d), W.word_tokens("text"))).where("id % 3 <> 0")
-    vectors = vocab.select("token", F.array(*[(F.col("id") * (j + 3)) % 17 / 17.0 for j in range(4)]).alias("vector"))
+    vectors = vocab.select("token", "n", F.array(*[(F.col("id") * (j + 3)) % 17 / 17.0 for j in range(4)]).alias("vector"))
     out = textvec.embed_tokens(docs(s, d), "doc_id", W.word_tokens("text"), vectors)
     return out.withColumn("value", r6("value"))

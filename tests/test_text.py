@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from lumenframe.functions import joins
 from lumenframe.functions import words as W
 from lumenframe.operators import issues, text, textvec
 
@@ -114,3 +115,25 @@ def test_word2vec_vectors(spark):
     df = spark.createDataFrame([("a b c a b c",)] * 20, "t string")
     model = textvec.word2vec(df, W.word_tokens("t"), size=4, min_count=1)
     assert {r["word"] for r in model.getVectors().collect()} == {"a", "b", "c"} and model.findSynonyms("a", 2).count() == 2
+
+
+def test_terms_are_counted_inside_rows_and_added_up_for_repeated_keys(spark):
+    rows = [(1, "b a b"), (2, None), (3, ""), (4, "a c a a")]
+    once = textvec.term_counts(spark.createDataFrame(rows, "i long, t string"), "i", W.word_tokens("t"), first=True)
+    assert sorted(map(tuple, once.collect())) == [(1, "a", 1, 1), (1, "b", 2, 0), (4, "a", 3, 0), (4, "c", 1, 1)]
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    twice = textvec.term_counts(spark.createDataFrame([*rows, (1, "c b"), (None, "a")], "i long, t string"), "i", W.word_tokens("t"), first=True)
+    got = sorted(map(tuple, twice.collect()), key=str)
+    assert got == sorted([(1, "a", 1, 1), (1, "b", 3, 0), (1, "c", 1, 0), (4, "a", 3, 0), (4, "c", 1, 1), (None, "a", 1, 0)], key=str)
+
+
+def test_counted_join_keeps_every_row_with_few_or_many_frequent_keys(spark):
+    big = spark.createDataFrame([("a", i) for i in range(9)] + [("b", i) for i in range(4)] + [("c", 0), ("d", 0), (None, 1)], "k string, i int")
+    small = spark.createDataFrame([("a", 9, 1.0), ("b", 4, 2.0), ("c", 1, 3.0), ("e", None, 4.0)], "k string, n long, v double")
+    want = sorted((k, i, {"a": 1.0, "b": 2.0, "c": 3.0}.get(k)) for k, i in ((r["k"], r["i"]) for r in big.collect()) if k) + [(None, 1, None)]
+    for most in (1, 2, 3, 50):
+        for how in ("left", "inner"):
+            got = joins.counted_join(big, small, "k", how, most=most).select("k", "i", "v").collect()
+            assert sorted(map(tuple, got), key=str) == sorted((w for w in want if how == "left" or w[2] is not None), key=str)
+    plan = joins.counted_join(big, small, "k", "inner", most=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (" in plan and "strategy=broadcast" in plan
