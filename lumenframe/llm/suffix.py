@@ -56,29 +56,39 @@ def refined(a: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     padded = np.concatenate((a, np.zeros(FIRST, np.uint8)))
     key = np.zeros(n, U)
     for i in range(FIRST):
-        key = (key << U(8)) | padded[i:n + i]
+        key <<= U(8)
+        key |= padded[i:n + i]
     place = np.arange(n, dtype=U)
     small = n < (1 << BITS) - 1
     if small:
-        key = np.sort((key << U(BITS)) | place)
+        key <<= U(BITS)
+        key |= place
+        key.sort()
         sa, pair = key & MASK, key >> U(BITS)
     else:
         sa = np.argsort(key, kind="stable").astype(U)
         pair = key[sa]
     head = np.concatenate((np.ones(min(n, 1), bool), pair[1:] != pair[:-1]))
-    slot = np.arange(n)
+    slot = np.arange(n, dtype=np.int32 if small else np.int64)                # narrow numbers keep the ranks in the cache
     group = np.maximum.accumulate(np.where(head, slot, 0)) if n else slot
-    rank = np.zeros(n + 1, U)
+    rank = np.zeros(n + 4 * depth, np.uint32 if small else U)                 # zero past the end
     rank[sa] = group + 1
     live = slot[~(head & np.concatenate((head[1:], [True])))] if n else slot
     h = FIRST
     while True:
         last, own = h >= depth, group[live]
         pos = sa[live]
-        second = rank[np.minimum(pos + U(h), U(n))]
+        second = rank[pos + U(h)]
         if small:
-            key = np.sort((own.astype(U) << U(2 * BITS)) | (second << U(BITS)) | pos)
-            pos, changed = key & MASK, np.diff(key >> U(BITS)) != 0
+            key = own.astype(U)
+            key <<= U(BITS)
+            key |= second
+            key <<= U(BITS)
+            key |= pos
+            key.sort()
+            pos = key & MASK
+            key >>= U(BITS)
+            changed = key[1:] != key[:-1]
         else:
             order = np.lexsort((pos, second, own))
             pos, second = pos[order], second[order]

@@ -652,3 +652,14 @@ def test_a_colliding_digest_is_resolved_by_the_bytes(spark):
     got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact.exact_duplicates(docs_of(spark, texts), digest=weak).collect()}
     size = Counter(i % 7 for i, _ in texts)
     assert got == {i: (i % 7, size[i % 7], i < 7) for i, _ in texts}
+
+
+def test_suffixes_near_the_end_are_in_order():
+    rng = np.random.default_rng(11)
+    for n, letters in ((1, 1), (7, 1), (90, 1), (400, 2), (900, 3)):
+        a = rng.integers(97, 97 + letters, n).astype(np.uint8)
+        a[-min(n, 60):] = a[:min(n, 60)]
+        raw = a.tobytes()
+        sa = suffix.refined(a, 40)[0].astype(int).tolist()
+        assert [raw[p:p + 80] for p in sa] == sorted(raw[p:p + 80] for p in range(n))
+        assert sorted(sa) == list(range(n))
